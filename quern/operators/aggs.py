@@ -69,3 +69,78 @@ def quality_breakdown(df: DataFrame, col: str = "extraction_quality") -> DataFra
     return c.select("total", "high", "medium", "low",
                     *[F.when(F.col("total") > 0, pct(q, "total")).otherwise(F.lit(0.0)).alias(f"{q}_pct")
                       for q in ("high", "medium", "low")])
+
+
+def _count_map(df: DataFrame, col: str, null_as: str = "unknown") -> DataFrame:
+    """One row: map value → count.  The map holds one entry per distinct
+    value of a dimension column (regions, languages, hazards)."""
+    g = (df.select(F.coalesce(F.col(col), F.lit(null_as)).alias("k"))
+         .groupBy("k").agg(F.count(F.lit(1)).alias("n")))
+    return g.agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias(col))
+
+
+def run_stats(df: DataFrame, extraction_date: str, extraction_timestamp: str,
+              lang: str = "article_language", quality: str = "extraction_quality",
+              region: str = "state", disaster: str = "disaster_type") -> DataFrame:
+    """F6 — the nested one-row run statistics document.
+
+    Each piece is a global aggregate (partial + final); the four one-row
+    results are glued with constant-key broadcast joins.
+    """
+    totals = df.agg(F.count(F.lit(1)).alias("total_articles"),
+                    *[F.count_if(F.col(quality) == q).alias(q) for q in ("high", "medium", "low")])
+    lg = (df.select(F.coalesce(F.col(lang), F.lit("unknown")).alias("k"))
+          .groupBy("k").agg(F.count(F.lit(1)).alias("count")))
+    lang_map = with_total(lg, lg.agg(F.sum("count").alias("_t"))).agg(
+        F.map_from_entries(F.collect_list(F.struct(
+            "k", F.struct(F.col("count"), pct("count", "_t").alias("percentage"))))).alias("language_distribution"))
+    out = with_total(totals, lang_map)
+    out = with_total(out, _count_map(df, region).withColumnRenamed(region, "region_breakdown"))
+    out = with_total(out, _count_map(df, disaster).withColumnRenamed(disaster, "disaster_breakdown"))
+    empty = F.create_map().cast("map<string,struct<count:bigint,percentage:double>>")
+    return out.select(
+        F.lit(extraction_date).alias("extraction_date"),
+        F.col("total_articles"),
+        F.struct(F.col("total_articles"),
+                 F.coalesce(F.col("language_distribution"), empty).alias("language_distribution")).alias("language_stats"),
+        F.struct("high", "medium", "low").alias("quality_breakdown"),
+        F.coalesce(F.col("region_breakdown"), F.create_map().cast("map<string,bigint>")).alias("region_breakdown"),
+        F.coalesce(F.col("disaster_breakdown"), F.create_map().cast("map<string,bigint>")).alias("disaster_breakdown"),
+        F.lit(extraction_timestamp).alias("extraction_timestamp"),
+    )
+
+
+def flatten_run_stats(stats: DataFrame) -> DataFrame:
+    """Sorted 'k=v' strings of the maps (for comparison and display)."""
+    def flat(m, fmt):
+        return F.array_join(F.transform(F.array_sort(F.map_entries(m)), fmt), ",")
+    return stats.select(
+        F.col("total_articles"),
+        F.col("quality_breakdown.high").alias("high"),
+        F.col("quality_breakdown.medium").alias("medium"),
+        F.col("quality_breakdown.low").alias("low"),
+        flat(F.col("language_stats.language_distribution"),
+             lambda e: F.concat(e["key"], F.lit("="), e["value"]["count"].cast("string"), F.lit("/"),
+                                e["value"]["percentage"].cast("string"))).alias("languages"),
+        flat(F.col("region_breakdown"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))).alias("regions"),
+        flat(F.col("disaster_breakdown"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))).alias("disasters"),
+    )
+
+
+def extraction_counters(df: DataFrame, region: str = "state", disaster: str = "disaster_type",
+                        file_col: str = "final_url") -> DataFrame:
+    """F7 — articles before dedup and distinct source files per region/hazard."""
+    return df.groupBy(region, disaster).agg(F.count(F.lit(1)).alias("articles_before_dedup"),
+                                            F.countDistinct(file_col).alias("links"))
+
+
+def top_values(df: DataFrame, col: str, k: int, null_as: str = "unknown") -> DataFrame:
+    """H1 — the k most frequent values (ties by value); a top-k report."""
+    g = (df.select(F.coalesce(F.col(col), F.lit(null_as)).alias(col))
+         .groupBy(col).agg(F.count(F.lit(1)).alias("count")))
+    return g.orderBy(F.desc("count"), F.asc(col)).limit(k)
+
+
+def ranked(df: DataFrame, col: str) -> DataFrame:
+    """H2 — every value with its count, ordered by count desc (a distributed sort)."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), F.asc(col))

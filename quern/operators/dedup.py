@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from quern.operators.ranking import rank_in_group
 
 from quern.functions import quality as Q
 from quern.functions import text as T
@@ -162,12 +162,14 @@ def batch_dedup(df: DataFrame, group: str, url: str, n: int = 3, seq: str = "seq
     repeated ``lower(strip(url))`` inside one batch is dropped.
 
     ``pos`` (0-based position inside the group) makes the batch a pure
-    projection.  Without it the position comes from a window over
-    ``group``; groups are the link lists of one feed file, bounded by the
-    feed's page size, so that window partition stays small.
+    projection; without it the position comes from ``rank_in_group``,
+    which never sorts a whole group in one task.
     """
-    rk = F.col(pos) if pos else F.row_number().over(Window.partitionBy(group).orderBy(seq)) - 1
-    b = (df.withColumn("_batch", F.floor(rk / n))
+    if pos:
+        b = df.withColumn("_pos", F.col(pos))
+    else:
+        b = rank_in_group(df, group, seq, "_pos")
+    b = (b.withColumn("_batch", F.floor(F.col("_pos") / n))
          .withColumn("_bk", F.concat_ws("\u0001", F.col(group).cast("string"), F.col("_batch").cast("string"),
                                         F.lower(T.py_strip(F.col(url))))))
-    return keep_best(b, "_bk", [], "_n", seq).drop("_batch", "_bk", "_n")
+    return keep_best(b, "_bk", [], "_n", seq).drop("_pos", "_batch", "_bk", "_n")

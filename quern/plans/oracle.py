@@ -197,3 +197,56 @@ s3 AS (
   SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY title_key ORDER BY text_len DESC, seq) AS rn
                    FROM s2 WHERE title_key <> '') WHERE rn = 1
 )"""
+
+
+# ---------------------------------------------------------------- language / relevance
+
+def _script_count(x: str, lo: int, hi: int) -> str:
+    res = f"regexp_replace(coalesce({x}, ''), '[^\\x{{0900}}-\\x{{0D7F}}]', '', 'g')"
+    return f"(length({res}) - length(regexp_replace({res}, '[\\x{{{lo:04X}}}-\\x{{{hi:04X}}}]', '', 'g')))"
+
+
+def lang_first(x: str) -> str:
+    from quern.functions.lang import SCRIPTS
+    n = f"length(coalesce({x}, ''))"
+    whens = " ".join(f"WHEN {_script_count(x, lo, hi)} > {n} * 0.15 THEN '{lang}'" for lang, lo, hi in SCRIPTS)
+    return f"(CASE WHEN {n} < 50 THEN 'en' {whens} ELSE 'en' END)"
+
+
+def lang_dominant(x: str) -> str:
+    from quern.functions.lang import LATINISH, SCRIPTS
+    n = f"length(coalesce({x}, ''))"
+    counts = {lang: _script_count(x, lo, hi) for lang, lo, hi in SCRIPTS}
+    top = f"greatest({', '.join(counts.values())})"
+    pick = "CASE " + " ".join(f"WHEN {c} = {top} THEN '{lang}'" for lang, c in counts.items()) + " END"
+    nonlat = f"length(regexp_replace(coalesce({x}, ''), {lit(LATINISH)}, '', 'g'))"
+    return (f"(CASE WHEN {n} < 50 THEN 'en' WHEN {nonlat} > {n} * 0.15 AND {top} > {n} * 0.1 "
+            f"THEN {pick} ELSE 'en' END)")
+
+
+def hits(x: str, terms) -> str:
+    return f"list_filter({lst(terms)}, lambda t: contains(lower(coalesce({x}, '')), lower(t)))"
+
+
+def _count_present(x: str, phrases) -> str:
+    return "(" + " + ".join(f"(CASE WHEN contains(lower(coalesce({x}, '')), {lit(p)}) THEN 1 ELSE 0 END)"
+                           for p in phrases) + ")"
+
+
+def relevant(x: str, terms, irrelevant=None, context=None) -> str:
+    from quern.functions.relevance import CONTEXT, IRRELEVANT
+    irrelevant = IRRELEVANT if irrelevant is None else irrelevant
+    context = CONTEXT if context is None else context
+    m = f"len({hits(x, terms)})"
+    if not terms:
+        return "false"
+    return (f"(CASE WHEN {x} IS NULL OR {x} = '' THEN false WHEN {m} = 0 THEN false "
+            f"WHEN {_count_present(x, irrelevant)} > 2 THEN false WHEN {m} >= 2 THEN true "
+            f"ELSE {_count_present(x, context)} >= 1 END)")
+
+
+def relevance_reason(x: str, terms, irrelevant, context) -> str:
+    m = f"len({hits(x, terms)})"
+    return (f"(CASE WHEN {x} IS NULL OR {x} = '' THEN 'empty' WHEN {m} = 0 THEN 'none' "
+            f"WHEN {_count_present(x, irrelevant)} > 2 THEN 'irrelevant' WHEN {m} >= 2 THEN 'multi' "
+            f"WHEN {_count_present(x, context)} >= 1 THEN 'single_context' ELSE 'single_no_context' END)")
