@@ -144,3 +144,12 @@ def top_values(df: DataFrame, col: str, k: int, null_as: str = "unknown") -> Dat
 def ranked(df: DataFrame, col: str) -> DataFrame:
     """H2 — every value with its count, ordered by count desc (a distributed sort)."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), F.asc(col))
+
+
+def url_filter_counts(urls: DataFrame, kept: DataFrame, url: str = "url") -> DataFrame:
+    """F13 — invalid / clean / problematic links and rows kept by the cap."""
+    from quern.functions.url import is_problematic_url, valid_link
+    v, p = valid_link(url), is_problematic_url(url)
+    c = urls.agg(F.count_if(~v).alias("invalid"), F.count_if(v & ~p).alias("clean"),
+                 F.count_if(v & p).alias("problematic"))
+    return with_total(c, kept.agg(F.count(F.lit(1)).alias("kept")))
