@@ -39,6 +39,7 @@ _MONTHS = ["january", "february", "march", "april", "may", "june", "july", "augu
            "september", "october", "november", "december"]
 _B = "(?i:" + "|".join(_MONTHS) + ")"
 _BB = "(?i:" + "|".join(m[:3] for m in _MONTHS) + ")"
+_A = "(?i:mon|tue|wed|thu|fri|sat|sun)"
 
 # The 13 formats of parse_date_any, in order, as
 # (strptime format, guard regex, Spark pattern).
@@ -61,7 +62,7 @@ DATE_FORMATS = [
 
 def _ymd_date(y: Column, m: Column, d: Column) -> Column:
     """Real calendar date from digit strings, else null (never throws)."""
-    return F.try_to_date(F.concat_ws("-", y, m, d), F.lit("yyyy-M-d"))
+    return F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-M-d")
 
 
 def date_from_url(url) -> Column:
@@ -92,7 +93,7 @@ def gmt_to_ist(published) -> Column:
     """C6 — RFC-822 'Www, dd Mon yyyy HH:MM:SS GMT' → IST 'yyyy-MM-dd HH:mm:ss';
     anything unparseable is returned unchanged."""
     p = _c(published)
-    m = F.regexp_extract(p, rf"^[A-Za-z]{{3}}, ({_D} {_BB} {_Y} {_H}:{_MI}:{_S}) (?:GMT|UTC)$", 1)
+    m = F.regexp_extract(p, rf"^{_A}, ({_D} {_BB} {_Y} {_H}:{_MI}:{_S}) (?:GMT|UTC)$", 1)
     ts = F.try_to_timestamp(m, F.lit("d MMM yyyy H:m:s"))
     ist = ts + F.expr("INTERVAL 330 MINUTES")
     return F.when((m != "") & ts.isNotNull(), F.date_format(ist, "yyyy-MM-dd HH:mm:ss")).otherwise(p)
@@ -105,9 +106,13 @@ def parse_ist(s) -> Column:
     return F.when(ok, F.try_to_timestamp(c, F.lit("yyyy-M-d H:m:s")))
 
 
+# Characters kept by the date cleaner: Python's [\w\s\-:/,]
+DATE_CLEAN = r"[^\p{L}\p{N}_" + WS[1:-1] + r"\-:/,]"
+
+
 def clean_date_text(s) -> Column:
     """Drop characters outside ``[\\w\\s\\-:/,]`` and strip."""
-    c = F.regexp_replace(F.coalesce(_c(s), F.lit("")), r"[^\p{L}\p{N}_" + WS[1:-1] + r"\-:/,]", "")
+    c = F.regexp_replace(F.coalesce(_c(s), F.lit("")), DATE_CLEAN, "")
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
 
 

@@ -153,3 +153,32 @@ def url_filter_counts(urls: DataFrame, kept: DataFrame, url: str = "url") -> Dat
     c = urls.agg(F.count_if(~v).alias("invalid"), F.count_if(v & ~p).alias("clean"),
                  F.count_if(v & p).alias("problematic"))
     return with_total(c, kept.agg(F.count(F.lit(1)).alias("kept")))
+
+
+def rejection_funnel(entries: DataFrame, terms, start: str, end: str, title: str = "title",
+                     summary: str = "summary", irrelevant=None, context=None) -> DataFrame:
+    """F9 — content-rejected, out-of-range and parse-error counts of B7.
+
+    Parse errors are counted even when a URL date rescues the entry.
+    """
+    from quern.functions import relevance as R
+    from quern.operators.filters import strict_date_filter
+    irrelevant = R.IRRELEVANT if irrelevant is None else irrelevant
+    context = R.CONTEXT if context is None else context
+    d = strict_date_filter(entries, start, end)
+    t_ok = R.is_relevant(F.col(title), terms, irrelevant, context)
+    combined = F.concat(F.col(title), F.lit(" "), F.coalesce(F.col(summary), F.lit("")))
+    c_ok = R.is_relevant(combined, terms, irrelevant, context)
+    kept = F.col("article_date").isNotNull()
+    st = F.col("date_status")
+    return d.agg(
+        (F.count_if(~t_ok) + F.count_if(t_ok & kept & ~c_ok)).alias("content_rejected"),
+        F.count_if(t_ok & (st == "out_of_range")).alias("out_of_range"),
+        F.count_if(t_ok & st.startswith("parse_error")).alias("parse_error"),
+    )
+
+
+def dates_present(df: DataFrame, date: str) -> DataFrame:
+    """F11 — the sorted distinct dates as one string (bounded by the date window)."""
+    return df.agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.col(date))),
+                                           lambda d: F.date_format(d, "yyyy-MM-dd")), ",").alias("dates"))

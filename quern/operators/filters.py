@@ -14,6 +14,7 @@ from quern.functions import dates as Dt
 from quern.functions import relevance as R
 from quern.functions import url as U
 from quern.functions.text import _c, clip
+from quern.operators.common import materialize
 from quern.operators.ranking import rank_in_group
 
 
@@ -77,33 +78,34 @@ def strict_date_filter(df: DataFrame, start: str, end: str, published: str = "pu
     ``date_status`` (in_range / url_rescued / parse_error_rescued / out_of_range /
     parse_error).
     """
-    ist = Dt.gmt_to_ist(F.col(published))
-    ts = Dt.parse_ist(ist)
-    d = F.to_date(ts)
-    url_d = Dt.date_from_url(F.col(link))
+    # Each derived value is its own projection and referenced by name, so
+    # the large regex expressions are evaluated once per row, not re-inlined.
     s, e = F.to_date(F.lit(start)), F.to_date(F.lit(end))
-    in_range = d.between(s, e)
-    url_ok = url_d.isNotNull() & url_d.between(s, e)
-    status = (F.when(ts.isNotNull() & in_range, F.lit("in_range"))
+    x = materialize(df, _ist=Dt.gmt_to_ist(F.col(published)), _url_d=Dt.date_from_url(F.col(link)))
+    x = materialize(x, _ts=Dt.parse_ist(F.col("_ist")))
+    ts, url_d = F.col("_ts"), F.col("_url_d")
+    url_ok = F.coalesce(url_d.between(s, e), F.lit(False))
+    status = (F.when(ts.isNotNull() & F.to_date(ts).between(s, e), F.lit("in_range"))
               .when(ts.isNotNull() & url_ok, F.lit("url_rescued"))
               .when(ts.isNotNull(), F.lit("out_of_range"))
               .when(url_ok, F.lit("parse_error_rescued"))
               .otherwise(F.lit("parse_error")))
+    x = materialize(x, date_status=status)
+    inr, resc = F.col("date_status") == "in_range", F.col("date_status").endswith("rescued")
     noon = F.concat(F.date_format(url_d, "yyyy-MM-dd"), F.lit(" 12:00:00"))
-    return (df.withColumn("date_status", status)
-            .withColumn("article_date", F.when(F.col("date_status") == "in_range", d)
-                        .when(F.col("date_status").endswith("rescued"), url_d))
-            .withColumn("ist_date", F.when(F.col("date_status") == "in_range", ist)
-                        .when(F.col("date_status").endswith("rescued"), noon)))
+    return (x.withColumn("article_date", F.when(inr, F.to_date(ts)).when(resc, url_d))
+            .withColumn("ist_date", F.when(inr, F.col("_ist")).when(resc, noon))
+            .drop("_ist", "_url_d", "_ts"))
 
 
 def collect_entries(df: DataFrame, terms, start: str, end: str, term: str, lang: str,
-                    title: str = "title", summary: str = "summary", keep_status: bool = False) -> DataFrame:
+                    title: str = "title", summary: str = "summary", keep_status: bool = False,
+                    irrelevant=R.IRRELEVANT, context=R.CONTEXT) -> DataFrame:
     """B7 — title relevant → B6 date → (title + ' ' + summary) relevant → 7 columns."""
-    t = df.where(R.is_relevant(F.col(title), terms))
+    t = df.where(R.is_relevant(F.col(title), terms, irrelevant, context))
     t = strict_date_filter(t, start, end).where(F.col("article_date").isNotNull())
     combined = F.concat(F.col(title), F.lit(" "), F.coalesce(F.col(summary), F.lit("")))
-    t = t.where(R.is_relevant(combined, terms))
+    t = t.where(R.is_relevant(combined, terms, irrelevant, context))
     cols = [F.col(title).alias("Title"), F.col("link").alias("Link"), F.col("ist_date").alias("Date"),
             F.coalesce(F.col("source_title"), F.lit("")).alias("Source") if "source_title" in df.columns
             else F.lit("").alias("Source"),

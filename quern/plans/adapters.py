@@ -70,7 +70,8 @@ def dated_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders → feed entries with an RFC-822 ``published`` and a dated URL.
 
     ``ts`` = order date + (orderkey % 24) hours, so the IST shift crosses
-    midnight; the URL carries the date in one of nine layouts.
+    midnight; the URL carries the date in one of nine layouts; every 50th
+    ``published`` is unparseable.
     """
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
@@ -88,13 +89,15 @@ def dated_links(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(layout == 6, F.concat(F.lit("news/"), yy, F.lit("/"), m.cast("string"), F.lit("/"), d.cast("string"), F.lit("/x")))
             .when(layout == 7, F.concat(d.cast("string"), F.lit("_"), m.cast("string"), F.lit("_"), yy))
             .otherwise(F.concat(F.lit("x-"), yy, mm, dd, F.lit("-y"))))
+    published = (F.when(k % 50 == 0, F.concat(F.lit("garbage "), k.cast("string")))
+                 .otherwise(F.concat(F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))))
     return o.select(
         k.alias("seq"),
         ts.alias("ts"),
-        F.concat(F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT")).alias("published"),
+        published.alias("published"),
         F.concat(F.lit("https://news"), (k % 7).cast("string"), F.lit(".example.in/"), path).alias("link"),
-        F.col("o_orderpriority").alias("title"),
-        F.col("o_orderstatus").alias("status"),
+        F.concat(F.col("o_orderpriority"), F.lit(" "), F.col("o_orderstatus")).alias("title"),
+        F.concat(F.lit("total "), F.col("o_totalprice").cast("string")).alias("summary"),
     )
 
 
