@@ -101,14 +101,36 @@ def dated_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Test vectors: error texts a feed client typically reports; the adapter
+# assigns one to each failed event by event_id, so every class is hit.
+ERROR_TEXTS = ["HTTPSConnectionPool: Max retries exceeded with url",
+               "SSLError: EOF occurred in violation of protocol",
+               "ConnectionError: RemoteDisconnected",
+               "ReadTimeout: read timed out",
+               "403 Client Error: Forbidden",
+               "404 Client Error: Not Found",
+               "quota exceeded permanently",
+               "Invalid API key",
+               "unexpected response"]
+
+
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events → request log (ts, key, success, error_type, response_time)."""
+    """events → request log (event_id, ts, key, success, error_type, response_time)."""
     e = table(spark, sf_dir, "events")
+    texts = F.array(*[F.lit(t) for t in ERROR_TEXTS])
+    err = F.element_at(texts, (F.col("event_id") % len(ERROR_TEXTS)).cast("int") + 1)
     return e.select(
         F.col("event_id"),
         F.col("ts"),
         F.col("user_id").alias("key"),
         (F.col("event_type") != "error").alias("success"),
-        F.when(F.col("event_type") == "error", F.coalesce(F.col("props"), F.lit(""))).alias("error_type"),
+        F.when(F.col("event_type") == "error", err).alias("error_type"),
         F.col("value").alias("response_time"),
     )
+
+
+REQUEST_LOG_SQL = ("(SELECT event_id, ts, user_id AS key, event_type <> 'error' AS success, "
+                   "CASE WHEN event_type = 'error' THEN ["
+                   + ", ".join("'" + t.replace("'", "''") + "'" for t in ERROR_TEXTS)
+                   + f"][CAST(event_id % {len(ERROR_TEXTS)} AS INTEGER) + 1] END AS error_type, "
+                   "value AS response_time FROM events)")
