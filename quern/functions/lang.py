@@ -83,19 +83,19 @@ def _map(d: dict) -> Column:
 
 def primary_language(region) -> Column:
     """C18 — region → primary language code, default en."""
-    return F.coalesce(F.element_at(_map(PRIMARY_LANGUAGE), _c(region)), F.lit("en"))
+    return F.coalesce(F.try_element_at(_map(PRIMARY_LANGUAGE), _c(region)), F.lit("en"))
 
 
 def region_languages(region) -> Column:
     """C18 — region → ordered language codes, default [en]."""
     m = F.create_map(*[x for r, ls in REGION_LANGUAGES.items()
                        for x in (F.lit(r), F.array(*[F.lit(v) for v in ls]))])
-    return F.coalesce(F.element_at(m, _c(region)), F.array(F.lit("en")))
+    return F.coalesce(F.try_element_at(m, _c(region)), F.array(F.lit("en")))
 
 
 def language_name(code) -> Column:
     """C18 — code → display name, default the code itself."""
-    return F.coalesce(F.element_at(_map(LANGUAGE_NAMES), _c(code)), _c(code))
+    return F.coalesce(F.try_element_at(_map(LANGUAGE_NAMES), _c(code)), _c(code))
 
 
 def region_display(region) -> Column:

@@ -70,7 +70,7 @@ def source_strategies(spark: SparkSession, regions: DataFrame, region: str = "re
                                for x in (F.lit(r), F.array(*[F.lit(a) for a in al]))])
     base = F.array(disp, F.replace(disp, F.lit("And"), F.lit("&")),
                    F.when(F.instr(disp, " ") > 0, F.substring_index(disp, " ", 1)).otherwise(disp))
-    pats = F.concat(base, F.coalesce(F.element_at(alias_map, F.col(region)), F.array().cast("array<string>")))
+    pats = F.concat(base, F.coalesce(F.try_element_at(alias_map, F.col(region)), F.array().cast("array<string>")))
     return regions.select(region, F.posexplode(pats).alias("prio", "pattern"))
 
 

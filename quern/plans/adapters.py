@@ -118,7 +118,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events → request log (event_id, ts, key, success, error_type, response_time)."""
     e = table(spark, sf_dir, "events")
     texts = F.array(*[F.lit(t) for t in ERROR_TEXTS])
-    err = F.element_at(texts, (F.col("event_id") % len(ERROR_TEXTS)).cast("int") + 1)
+    err = F.try_element_at(texts, (F.col("event_id") % len(ERROR_TEXTS)).cast("int") + 1)
     return e.select(
         F.col("event_id"),
         F.col("ts"),

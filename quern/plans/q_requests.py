@@ -20,7 +20,7 @@ def log(spark, sf):
 
 
 def _lang_col():
-    return F.element_at(F.array(*[F.lit(x) for x in LANGS]), (F.col("key") % len(LANGS)).cast("int") + 1)
+    return F.try_element_at(F.array(*[F.lit(x) for x in LANGS]), (F.col("key") % len(LANGS)).cast("int") + 1)
 
 
 LANG_SQL = f"[{', '.join(O.lit(x) for x in LANGS)}][CAST(key % {len(LANGS)} AS INTEGER) + 1]"

@@ -62,3 +62,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quern`` importable in the Python workers (once per context).
+
+    Operators that run Python on executors (page parsing, sequence ratio,
+    stateful streaming) call this; it zips the package and registers it
+    with ``addPyFile`` so Spark distributes it with the job, on a cluster
+    as in local mode.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="quern-pyfiles-")
+    zpath = shutil.make_archive(os.path.join(out, "quern"), "zip", os.path.dirname(pkg_dir), "quern")
+    sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))
