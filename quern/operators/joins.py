@@ -113,31 +113,50 @@ def saved_searches(region_terms: DataFrame, region: str = "region", lang: str =
 
     ``"t0" r``, ``"t1" r``, ``"t2" r``; ``(t0 OR t1) r``; ``(t3 OR t4) r``;
     in full mode also ``(t8 OR t9) r`` and ``(t0 OR t3 OR t7) r``; the small
-    mode keeps the first three.  No terms → ``monsoon r``.
+    mode keeps the first three.  No terms → ``monsoon r``.  Each search
+    carries its phrases; B13 drops searches with > 4 'OR' or > 200 chars.
     """
     t = F.col(terms)
     r = F.col(region)
-    n = F.size(t)
-    q = lambda *xs: F.concat(*xs)
+    n = F.coalesce(F.size(t), F.lit(0))
+
+    def q(phrases, text):
+        return F.struct(text.alias("query"), phrases.alias("phrases"))
+
+    def alt(*xs):
+        arr = F.array(*xs)
+        return q(arr, F.concat(F.lit("("), F.array_join(arr, " OR "), F.lit(") "), r))
+
     prio = F.transform(F.filter(F.slice(t, 1, 3), lambda x: py_strip(x) != ""),
-                       lambda x: q(F.lit('"'), x, F.lit('" '), r))
-    weather = F.when(n >= 3, F.array(q(F.lit("("), t[0], F.lit(" OR "), t[1], F.lit(") "), r)))
-    impact = F.when(n >= 6, F.array(q(F.lit("("), t[3], F.lit(" OR "), t[4], F.lit(") "), r)))
-    empty = F.array().cast("array<string>")
+                       lambda x: q(F.array(x), F.concat(F.lit('"'), x, F.lit('" '), r)))
+    empty = F.array().cast("array<struct<query:string,phrases:array<string>>>")
+    weather = F.when(n >= 3, F.array(alt(t[0], t[1])))
+    impact = F.when(n >= 6, F.array(alt(t[3], t[4])))
     base = F.concat(prio, F.coalesce(weather, empty), F.coalesce(impact, empty))
     if ci:
-        health = F.when(n >= 10, F.array(q(F.lit("("), t[8], F.lit(" OR "), t[9], F.lit(") "), r)))
-        broad = F.when(n >= 8, F.array(q(F.lit("("), F.array_join(F.filter(F.array(t[0], t[3], t[7]),
-                                                                           lambda x: x != ""), " OR "),
-                                         F.lit(") "), r)))
+        health = F.when(n >= 10, F.array(alt(t[8], t[9])))
+        broad_terms = F.filter(F.array(t[0], t[3], t[7]), lambda x: x != "")
+        broad = F.when(n >= 8, F.array(q(broad_terms, F.concat(F.lit("("), F.array_join(broad_terms, " OR "),
+                                                              F.lit(") "), r))))
         qs = F.concat(base, F.coalesce(health, empty), F.coalesce(broad, empty))
     else:
         qs = F.slice(base, 1, 3)
-    qs = F.when((t.isNull()) | (n == 0), F.array(q(F.lit("monsoon "), r))).otherwise(qs)
-    out = region_terms.select(region, lang, F.posexplode(qs).alias("query_ord", "query"))
+    qs = F.when(n == 0, F.array(q(F.array(F.lit("monsoon")), F.concat(F.lit("monsoon "), r)))).otherwise(qs)
+    out = region_terms.select(region, lang, F.posexplode(qs).alias("query_ord", "s"))
+    out = out.select(region, lang, "query_ord", F.col("s.query").alias("query"), F.col("s.phrases").alias("phrases"))
     return out.where((F.regexp_count(F.col("query"), F.lit("OR")) <= 4) & (F.length("query") <= 200))
 
 
+def saved_search_match(docs: DataFrame, searches: DataFrame, region: str = "region", lang: str = "lang",
+                       text: str = "text") -> DataFrame:
+    """E8 — documents matched by the saved searches of their (region, language):
+    an equi-join on (region, lang), then any phrase contained in lower(text)."""
+    j = docs.join(searches, [region, lang])
+    low = F.lower(F.col(text))
+    hit = F.exists("phrases", lambda p: F.instr(low, F.lower(p)) > 0)
+    return j.where(hit)
+
+
 # ------------------------------------------------------------------ E1 / E2
 
 def _url_parts(url: str, prefix: str) -> list:
