@@ -73,7 +73,11 @@ def dated_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     midnight; the URL carries the date in one of nine layouts; every 50th
     ``published`` is unparseable.
     """
-    o = table(spark, sf_dir, "orders")
+    return dated_links_of(table(spark, sf_dir, "orders"))
+
+
+def dated_links_of(o: DataFrame) -> DataFrame:
+    """The dated-links projection of an orders frame (batch or stream)."""
     k = F.col("o_orderkey")
     ts = F.col("o_orderdate") + F.make_interval(hours=(k % 24).cast("int"))
     y, m, d = F.year(ts), F.month(ts), F.dayofmonth(ts)
@@ -116,7 +120,11 @@ ERROR_TEXTS = ["HTTPSConnectionPool: Max retries exceeded with url",
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events → request log (event_id, ts, key, success, error_type, response_time)."""
-    e = table(spark, sf_dir, "events")
+    return request_log_of(table(spark, sf_dir, "events"))
+
+
+def request_log_of(e: DataFrame) -> DataFrame:
+    """The request-log projection of an events frame (batch or stream)."""
     texts = F.array(*[F.lit(t) for t in ERROR_TEXTS])
     err = F.try_element_at(texts, (F.col("event_id") % len(ERROR_TEXTS)).cast("int") + 1)
     return e.select(

@@ -37,7 +37,7 @@ def register(name: str, sql: str | None, inventory: str = ""):
 def load_all() -> dict[str, Query]:
     # Importing the modules registers their queries.
     from quern.plans import q_dedup, q_text, q_urls  # noqa: F401
-    for mod in ("q_relevance", "q_dates", "q_pages", "q_joins", "q_requests", "q_stats", "q_neardup"):
+    for mod in ("q_dates", "q_pages", "q_joins", "q_requests", "q_neardup", "q_streaming", "q_sources"):
         try:
             __import__(f"quern.plans.{mod}")
         except ModuleNotFoundError as e:
