@@ -30,18 +30,25 @@ def _block(lo: int, hi: int) -> str:
     return f"[\\x{{{lo:04X}}}-\\x{{{hi:04X}}}]"
 
 
-def script_counts(text) -> dict[str, Column]:
-    t = F.coalesce(_c(text), F.lit(""))
-    residue = F.regexp_replace(t, INDIC_BLOCK, "")
+def indic_residue(text) -> Column:
+    """The text reduced to the U+0900–U+0D7F block (usually empty)."""
+    return F.regexp_replace(F.coalesce(_c(text), F.lit("")), INDIC_BLOCK, "")
+
+
+def script_counts(text, residue=None) -> dict[str, Column]:
+    residue = indic_residue(text) if residue is None else _c(residue)
     n = F.length(residue)
     return {lang: n - F.length(F.regexp_replace(residue, _block(lo, hi), "")) for lang, lo, hi in SCRIPTS}
 
 
-def script_language_first(text) -> Column:
-    """C9 — first script (in listed order) above 15 % of the characters; else en."""
+def script_language_first(text, residue=None) -> Column:
+    """C9 — first script (in listed order) above 15 % of the characters; else en.
+
+    ``residue`` (``indic_residue(text)``) may be passed precomputed, so one
+    reduction of a long text serves every script count."""
     t = F.coalesce(_c(text), F.lit(""))
     n = F.length(t)
-    counts = script_counts(t)
+    counts = script_counts(t, residue)
     expr = F.when(n < 50, F.lit("en"))
     for lang, _, _ in SCRIPTS:
         expr = expr.when(counts[lang] > n * 0.15, F.lit(lang))
@@ -53,17 +60,17 @@ def non_latin_count(text) -> Column:
     return F.length(F.regexp_replace(t, LATINISH, ""))
 
 
-def script_language_dominant(text) -> Column:
+def script_language_dominant(text, residue=None, non_latin=None) -> Column:
     """C10 — if >15 % non-Latin and the largest script >10 %: that script; else en."""
     t = F.coalesce(_c(text), F.lit(""))
     n = F.length(t)
-    counts = script_counts(t)
+    counts = script_counts(t, residue)
     top = F.greatest(*counts.values())
     pick = F.lit("en")
     for lang, _, _ in reversed(SCRIPTS):  # first listed wins a tie
         pick = F.when(counts[lang] == top, F.lit(lang)).otherwise(pick)
     return (F.when(n < 50, F.lit("en"))
-            .when((non_latin_count(t) > n * 0.15) & (top > n * 0.1), pick)
+            .when(((non_latin_count(t) if non_latin is None else _c(non_latin)) > n * 0.15) & (top > n * 0.1), pick)
             .otherwise(F.lit("en")))
 
 

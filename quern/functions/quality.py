@@ -27,9 +27,24 @@ def boilerplate_hits(text, patterns=BOILERPLATE) -> Column:
     return sum((F.when(F.instr(low, p) > 0, 1).otherwise(0) for p in patterns), F.lit(0))
 
 
+NON_WS = "[^" + WS[1:-1] + "]+"
+
+
+def word_count(text) -> Column:
+    """len(text.split()) without building the array."""
+    return F.regexp_count(F.coalesce(_c(text), F.lit("")), F.lit(NON_WS))
+
+
 def distinct_word_ratio(text) -> Column:
-    w = words(text)
-    return F.when(F.size(w) > 0, F.size(F.array_distinct(w)) / F.size(w)).otherwise(F.lit(0.0))
+    """len(set(text.split())) / len(text.split()); 0 for no words.
+
+    The word array is built once (split of the stripped text, no filter
+    lambda) and only for texts that have words.
+    """
+    t = F.coalesce(_c(text), F.lit(""))
+    n = word_count(t)
+    distinct = F.size(F.array_distinct(F.split(F.regexp_replace(t, f"^{WS}+|{WS}+$", ""), f"{WS}+")))
+    return F.when(n > 0, distinct / n).otherwise(F.lit(0.0))
 
 
 def quality_grade(text, boilerplate=BOILERPLATE) -> Column:

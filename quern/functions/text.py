@@ -39,8 +39,13 @@ def collapse_ws(s) -> Column:
 
 
 def words(s) -> Column:
-    """``str.split()``: whitespace-separated tokens, empties dropped."""
-    return F.filter(F.split(_c(s), f"{WS}+"), lambda w: w != F.lit(""))
+    """``str.split()``: whitespace-separated tokens, empties dropped.
+
+    Splitting the stripped text on whitespace runs yields no empty token
+    (except for an all-blank text, handled apart), so no per-token filter.
+    """
+    t = py_strip(_c(s))
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, f"{WS}+"))
 
 
 def clip(s, n: int) -> Column:

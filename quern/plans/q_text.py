@@ -16,6 +16,7 @@ from quern.operators import aggs as G
 from quern.operators import dedup as D
 from quern.operators import filters as B
 from quern.operators import joins as J
+from quern.operators.common import materialize
 from quern.plans import adapters as A
 from quern.plans import oracle as O
 from quern.plans.catalog import register
@@ -99,10 +100,10 @@ def script_language(spark, sf):
     d = docs(spark, sf).select(F.col("doc_id").alias("id"), "text")
     c = A.table(spark, sf, "conversations").select(
         (F.lit(1000000000) + F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
-    u = d.unionByName(c)
-    return u.select("id", L.script_language_first("text").alias("lang_first"),
-                    L.script_language_dominant("text").alias("lang_dominant"),
-                    L.non_latin_count("text").cast("bigint").alias("non_latin"))
+    u = materialize(d.unionByName(c), _res=L.indic_residue("text"), _nl=L.non_latin_count("text"))
+    return u.select("id", L.script_language_first("text", "_res").alias("lang_first"),
+                    L.script_language_dominant("text", "_res", "_nl").alias("lang_dominant"),
+                    F.col("_nl").cast("bigint").alias("non_latin"))
 
 
 # ------------------------------------------------------------------ B5 / C15 / E5

@@ -87,7 +87,9 @@ def write_links(df: DataFrame, root: str, fmt: str = "csv") -> None:
     Hive-partitioned by region_type / region / disaster_type / run_date."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.write.mode("overwrite").partitionBy("region_type", "region", "disaster_type", "run_date")
+    keys = ["region_type", "region", "disaster_type", "run_date"]
+    # one shuffle on the partition keys → one file per region/day instead of one per task
+    (df.repartition(*keys).write.mode("overwrite").partitionBy(*keys)
      .option("header", True).option("escape", '"').format(fmt).save(root))
 
 

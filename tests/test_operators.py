@@ -101,3 +101,13 @@ def test_page_title_cascade(spark):
     p = P.parse_pages(pg)
     got = {r.page_id: r.t for r in p.select("page_id", P.page_title(p).alias("t")).collect()}
     assert got == {1: "Floods hit the city", 2: "A proper headline here", 3: "OG title"}
+
+
+def test_region_selection(spark):
+    import pytest
+    from quern.operators.filters import region_selection
+    df = spark.createDataFrame([("assam",), ("delhi",)], "region string")
+    assert region_selection(df, None).count() == 2
+    assert [r.region for r in region_selection(df, "delhi").collect()] == ["delhi"]
+    with pytest.raises(ValueError):
+        region_selection(df, "atlantis")
