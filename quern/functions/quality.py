@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quern.functions.text import WS, _c, words
+from quern.functions.text import WS, WS_CHARS, _c, words
 
 # Boilerplate phrases that indicate a poor extraction.
 BOILERPLATE = ["cookie", "privacy policy", "terms of service", "subscribe", "sign up",
@@ -18,8 +18,7 @@ QUALITY_RANK = {"high": 3, "medium": 2, "low": 1}
 def long_lines(text) -> Column:
     """Number of '\\n'-separated lines whose stripped length exceeds 20."""
     lines = F.split(_c(text), "\n")
-    return F.size(F.filter(lines, lambda l: F.length(
-        F.regexp_replace(l, f"^{WS}+|{WS}+$", "")) > 20))
+    return F.size(F.filter(lines, lambda l: F.length(F.btrim(l, F.lit(WS_CHARS))) > 20))
 
 
 def boilerplate_hits(text, patterns=BOILERPLATE) -> Column:
@@ -38,13 +37,12 @@ def word_count(text) -> Column:
 def distinct_word_ratio(text) -> Column:
     """len(set(text.split())) / len(text.split()); 0 for no words.
 
-    The word array is built once (split of the stripped text, no filter
-    lambda) and only for texts that have words.
+    ``words`` is a plain split (no per-token lambda), so codegen's common
+    subexpression elimination builds the array once per row.
     """
-    t = F.coalesce(_c(text), F.lit(""))
-    n = word_count(t)
-    distinct = F.size(F.array_distinct(F.split(F.regexp_replace(t, f"^{WS}+|{WS}+$", ""), f"{WS}+")))
-    return F.when(n > 0, distinct / n).otherwise(F.lit(0.0))
+    w = words(F.coalesce(_c(text), F.lit("")))
+    n = F.size(w)
+    return F.when(n > 0, F.size(F.array_distinct(w)) / n).otherwise(F.lit(0.0))
 
 
 def quality_grade(text, boilerplate=BOILERPLATE) -> Column:

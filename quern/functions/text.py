@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 WS = (r"[\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 
+# The same set as literal characters, for btrim (a native trim, no regex).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+            + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+
 # Python ``\w`` on str: letters, numbers, underscore (combining marks excluded).
 WORD = r"[\p{L}\p{N}_]+"
 
@@ -30,7 +34,7 @@ def _c(x) -> Column:
 
 def py_strip(s) -> Column:
     """``str.strip()``: drop leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(s), f"^{WS}+|{WS}+$", "")
+    return F.btrim(_c(s), F.lit(WS_CHARS))
 
 
 def collapse_ws(s) -> Column:
