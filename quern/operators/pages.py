@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from quern.functions import dates as Dt
 from quern.functions import lang as L
 from quern.functions import relevance as R
-from quern.functions.text import WS, _c, clip, py_strip
+from quern.functions.text import clip, py_strip
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
@@ -404,4 +404,4 @@ def validate_page_article(fields: DataFrame, terms, start: str, end: str, source
                     F.lit("Monsoon").alias("Term"), L.script_language_first(combined).alias("LanguageQueried"))
 
 
-__all__ = ["parse_pages", "page_fields", "page_links", "validate_page_article", "WS", "_c"]
+__all__ = ["parse_pages", "page_fields", "page_links", "validate_page_article"]

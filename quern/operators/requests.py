@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators.aggs import pct, with_total
+from quern.operators.aggs import pct
 from quern.operators.ranking import running_sum
 
 BUCKET_SECONDS = 3600
@@ -132,5 +132,3 @@ def request_health(log: DataFrame, duration: str = "1 hour", slide: str | None =
             .select(F.col("window.start").alias("window_start"), key, "requests", "successful",
                     (F.col("successful") / F.col("requests") * 100).alias("success_rate")))
 
-
-__all__ = ["with_total"]

@@ -27,9 +27,6 @@ DOC_IRRELEVANT = ["ering", "oning", "ontion", "retion"]
 DOC_CONTEXT = ["und"]
 LICENSE_BOILERPLATE = ["apache license", "mit license", "copyright", "all rights reserved"]
 
-BIG = "CAST({} AS BIGINT)"
-
-
 def docs(spark, sf):
     return A.text_table(spark, sf, "documents")
 
