@@ -174,12 +174,18 @@ def read_feed(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     missing summary / source become ''."""
     if fmt == "xml":
         df = spark.read.format("xml").option("rowTag", "item").load(path)
-        src = F.col("source").cast("string") if "source" in df.columns else F.lit("")
-        return df.select(F.col("title").cast("string"), F.col("link").cast("string"),
+        cols = set(df.columns)
+        if "source" not in cols:
+            src = F.lit("")
+        elif isinstance(df.schema["source"].dataType, T.StructType):
+            src = F.col("source._VALUE")  # <source url="…">Title</source>
+        else:
+            src = F.col("source")
+        summary = F.col("description").cast("string") if "description" in cols else F.lit(None).cast("string")
+        return df.select(F.col("title").cast("string").alias("title"), F.col("link").cast("string").alias("link"),
                          F.col("pubDate").cast("string").alias("published"),
-                         F.coalesce(F.col("description").cast("string"), F.lit("")).alias("summary")
-                         if "description" in df.columns else F.lit("").alias("summary"),
-                         F.coalesce(src, F.lit("")).alias("source_title"))
+                         F.coalesce(summary, F.lit("")).alias("summary"),
+                         F.coalesce(src.cast("string"), F.lit("")).alias("source_title"))
     df = spark.read.schema(FEED_SCHEMA).json(path)
     return df.select("title", "link", "published", F.coalesce("summary", F.lit("")).alias("summary"),
                      F.coalesce(F.col("source.title"), F.lit("")).alias("source_title"))

@@ -65,3 +65,19 @@ def test_stats_and_feed(spark):
         f.write(json.dumps({"title": "t", "link": "https://a", "published": "Tue, 05 Mar 2024 20:00:00 GMT"}) + "\n")
     r = io.read_feed(spark, feed).first()
     assert r.summary == "" and r.source_title == ""
+
+
+def test_read_feed_xml(spark):
+    d = tempfile.mkdtemp(prefix="quern-rss-")
+    path = os.path.join(d, "feed.xml")
+    with open(path, "w") as f:
+        f.write('<rss><channel>'
+                '<item><title>Heavy rain</title><link>https://a/1</link>'
+                '<pubDate>Tue, 05 Mar 2024 20:00:00 GMT</pubDate><description>d1</description>'
+                '<source url="https://a">Daily A</source></item>'
+                '<item><title>Flood</title><link>https://a/2</link>'
+                '<pubDate>Wed, 06 Mar 2024 01:00:00 GMT</pubDate></item>'
+                '</channel></rss>')
+    rows = sorted((r.title, r.summary, r.source_title, r.published) for r in io.read_feed(spark, path, "xml").collect())
+    assert rows == [("Flood", "", "", "Wed, 06 Mar 2024 01:00:00 GMT"),
+                    ("Heavy rain", "d1", "Daily A", "Tue, 05 Mar 2024 20:00:00 GMT")]
