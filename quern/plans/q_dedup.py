@@ -84,15 +84,18 @@ def dedup_funnel(spark, sf):
     return funnel(D.dedup_chain(D.dedup_keys(A.articles(spark, sf)), "best"))
 
 
-# G1 — first row per repeated link, on page URLs (input order = page_id).
-@register("dedup_link_first",
-          "SELECT page_id, url FROM (SELECT page_id, url, row_number() OVER (PARTITION BY "
-          f"{O.normalize_url('url')} ORDER BY page_id) AS rn FROM pages) WHERE rn = 1", "G1")
+# G1 — repeated Link dropped, first row kept (exact Link, as the link writer does);
+# the link rows repeat every 10th page later in the file.
+def _g1_sql():
+    from quern.plans.q_joins import LINKS_SQL
+    return (f'SELECT seq, "Link" FROM (SELECT seq, "Link", row_number() OVER (PARTITION BY "Link" ORDER BY seq) AS rn '
+            f'FROM {LINKS_SQL}) WHERE rn = 1')
+
+
+@register("dedup_link_first", _g1_sql(), "G1")
 def dedup_link_first(spark, sf):
-    p = A.table(spark, sf, "pages").select("page_id", "url")
-    from quern.functions.url import normalize_url
-    k = p.withColumn("k", normalize_url("url")).withColumnRenamed("page_id", "seq")
-    return D.dedup_first(k, "k").select(F.col("seq").alias("page_id"), "url")
+    from quern.plans.q_joins import links
+    return D.dedup_first(links(spark, sf).select("seq", "Link"), "Link")
 
 
 # G6 — batches of 3 in page order per host; repeated lower(strip(url)) in a batch dropped.
