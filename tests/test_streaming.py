@@ -49,3 +49,14 @@ def test_request_health_stream_equals_batch(spark):
     batch = request_health(A.request_log_of(spark.read.parquet(os.path.join(d, "events.parquet"))))
     norm = lambda df: sorted((str(r.window_start)[:19], r.key, r.requests, r.successful) for r in df.collect())
     assert norm(stream) == norm(batch)
+
+
+def test_link_stream_equals_batch_distinct_links(spark):
+    from conftest import SF
+    from quern.operators import filters as B
+    from quern.plans.q_dates import CONTEXT, END, START, TERMS
+    stream = S.run_available_now(S.stream_links(A.dated_links_of(
+        S.table_stream(spark, SF, "orders", S.ORDERS_SCHEMA)), TERMS, START, END, context=CONTEXT)
+        .drop("event_ts"), "links-test")
+    batch = B.collect_entries(A.dated_links(spark, SF), TERMS, START, END, "Monsoon", "en", context=CONTEXT)
+    assert sorted(r.Link for r in stream.collect()) == sorted({r.Link for r in batch.collect()})
