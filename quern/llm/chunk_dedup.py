@@ -92,8 +92,12 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ident=
     r = recipes(d, ident).select("doc_id", "_recipe", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
     rows = r.groupBy("_recipe", "doc_id", "text_sha256").agg(F.count("*").alias("_copies"))
     rows = shared_table(rows, "recipes")
-    best = rows.groupBy("_recipe").agg(F.max("doc_id").alias("keep_id"), F.sum("_copies").alias("group_size"))
-    out = rows.join(best, "_recipe")
+    best = rows.groupBy("_recipe").agg(F.max("doc_id").alias("_best"), F.sum("_copies").alias("_size"))
+    # Only groups of several rows are joined, from a table, so that the join can split a large group.
+    best = shared_table(best.filter("_size > 1"), "groups")
+    out = rows.join(best, "_recipe", "left").select(
+        "*", F.coalesce("_size", "_copies").alias("group_size"),
+        F.when(F.col("_size").isNull(), F.col("doc_id")).otherwise(F.col("_best")).alias("keep_id"))
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
                       (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)).alias("kept"),

@@ -4,10 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import chunk_dedup, minmax
+from quern.llm import chunk_dedup, license_scan, minmax, piece_encode, token_dp, token_store
 from quern.llm.common import table
 
 
+def _vocabulary(name: str) -> str:
+    """Where the public tokenizer file lies (never copied into the repository)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op3_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = token_dp.zipf_scores(token_dp.ranked_pieces(_vocabulary("piece_bpe_32k.model")))
+    return token_dp.token_counts(table(spark, sf_dir, "documents"), scores)
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_store.new_path(spark)
+    token_store.write(table(spark, sf_dir, "documents"), path, _vocabulary("word_bpe_49k.json"), end_id=1)
+    return token_store.read_digest(spark, path)
+
+
+def op5_piece_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encode.digest(piece_encode.encode_table(
+        table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model")))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op7_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept")
@@ -19,6 +45,7 @@ def op8_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op3_trie_token_counts, op4_token_store, op5_piece_encode, op6_license_scan,
     op7_minmax_neardup, op8_chunk_recipes)}
 
 ORACLES = {
