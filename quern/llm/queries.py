@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import chunk_dedup, license_scan, minmax, piece_encode, token_dp, token_store
+from quern.llm import (
+    ann_forest, chunk_dedup, langid, license_scan, minmax, mixing, piece_encode, token_dp, token_store, url_trees)
 from quern.llm.common import table
 
 
@@ -14,6 +15,16 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_crf_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    seen = langid.predict(docs, langid.fit(docs))
+    return seen.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "n_words")
+
+
+def op2_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.assign(table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
+
+
 def op3_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = token_dp.zipf_scores(token_dp.ranked_pieces(_vocabulary("piece_bpe_32k.model")))
     return token_dp.token_counts(table(spark, sf_dir, "documents"), scores)
@@ -44,9 +55,17 @@ def op8_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.search(table(spark, sf_dir, "embeddings"), k=5)
+
+
+def op10_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trees.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_trie_token_counts, op4_token_store, op5_piece_encode, op6_license_scan,
-    op7_minmax_neardup, op8_chunk_recipes)}
+    op1_crf_langid, op2_curriculum_mix, op3_trie_token_counts, op4_token_store, op5_piece_encode, op6_license_scan,
+    op7_minmax_neardup, op8_chunk_recipes, op9_prefix_forest, op10_url_trees)}
 
 ORACLES = {
     "op8_chunk_recipes": chunk_dedup.ORACLE,
