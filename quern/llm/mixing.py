@@ -126,7 +126,8 @@ def assign(df: DataFrame, most: int = MOST, weights: tuple[int, ...] = (1, 2, 3)
     wanted = F.floor("target")
     visit = lambda v: F.greatest(F.least(F.col("size"), wanted - (F.lit(v) * F.col("source_size") + start)), F.lit(0))
     visits = F.filter(F.array(*[F.struct(
-        position((F.lit(v) * F.col("source_size") + start) / F.col("target"), F.col("rank") % len(schedules), schedules).alias("position"),
+        position(F.try_divide(F.lit(v) * F.col("source_size") + start, F.col("target")),
+                 F.col("rank") % len(schedules), schedules).alias("position"),
         visit(v).cast("long").alias("words")) for v in range(most)]), lambda s: s["words"] > 0)
     x = x.withColumn("visits", visits)
     taken = F.aggregate("visits", F.lit(0).cast("long"), lambda a, s: a + s["words"])
