@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.session import cut_lineage
+
 LINK_COLUMNS = ["Title", "Link", "Date", "Source", "Summary", "Term", "LanguageQueried"]
 LINK_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in LINK_COLUMNS])
+#: Columns of a link file beyond this number aren't looked at (the format has seven).
+MAX_COLUMNS = 24
 PATH_RE = r"/([^/]+)/([^/]+)/([^/]+)/(\d{4})/(\d{2})/(\d{2})/results\.csv$"
 
 OTHER_INFO = T.StructType([T.StructField(c, T.StringType()) for c in
@@ -47,6 +51,13 @@ FEED_SCHEMA = T.StructType([
 ])
 
 
+ITEM_SCHEMA = T.StructType([
+    T.StructField("title", T.StringType()), T.StructField("link", T.StringType()),
+    T.StructField("pubDate", T.StringType()), T.StructField("description", T.StringType()),
+    T.StructField("source", T.StructType([T.StructField("_VALUE", T.StringType()), T.StructField("_url", T.StringType())])),
+])
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -55,25 +66,34 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def read_links(spark: SparkSession, root: str) -> DataFrame:
     """A1 — every ``results.csv`` of the region/day tree, with the partition
-    columns parsed from the path and a stable ``seq`` (file, row).
+    columns parsed from the path and ``seq``, the struct (file, row in file).
 
-    ``escape='"'`` is required: summaries hold doubled quotes.
+    Columns are found by the name in each file's header, whatever their
+    order; a file without a ``Link`` column is left out, as the reference
+    does.  ``escape='"'`` is required: summaries hold doubled quotes.
     """
     if not _exists(spark, root):
         return spark.createDataFrame([], LINK_SCHEMA).select(
             "*", *[F.lit(None).cast("string").alias(c) for c in ("region_type", "region", "disaster_type", "file")],
-            F.lit(None).cast("date").alias("run_date"), F.lit(None).cast("long").alias("seq"))
-    df = (spark.read.schema(LINK_SCHEMA).option("header", True).option("multiLine", True)
-          .option("escape", '"').option("recursiveFileLookup", True).option("pathGlobFilter", "results.csv")
-          .csv(root))
+            F.lit(None).cast("date").alias("run_date"), F.lit(None).cast("struct<file:string,row:bigint>").alias("seq"))
+    raw = (spark.read.option("header", False).option("multiLine", True).option("escape", '"')
+           .option("recursiveFileLookup", True).option("pathGlobFilter", "results.csv")
+           .schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(MAX_COLUMNS)])).csv(root))
     path = F.col("_metadata.file_path")
-    g = lambda i: F.regexp_extract(path, PATH_RE, i)
-    out = df.select("*", path.alias("file"), g(1).alias("region_type"), g(2).alias("region"),
-                    g(3).alias("disaster_type"),
+    raw = raw.select("*", path.alias("file"), F.col("_metadata.file_block_start").alias("_at"),
+                     F.monotonically_increasing_id().alias("_row"))
+    cells = F.array(*[F.col(f"_c{i}") for i in range(MAX_COLUMNS)])
+    # a CSV with multi-line rows isn't split, so a file's rows are numbered in one task; its header is the first
+    head = raw.groupBy("file").agg(F.min_by(cells, "_row").alias("_head"), F.min("_row").alias("_first"))
+    head = head.where(F.array_contains("_head", "Link"))
+    df = raw.withColumn("_cells", cells).join(head, "file").where(F.col("_row") > F.col("_first"))
+    value = lambda c: F.try_element_at("_cells", F.nullif(F.array_position("_head", c), F.lit(0)).cast("int"))
+    df = df.select(*[value(c).alias(c) for c in LINK_COLUMNS], "file",
+                   F.struct("file", (F.col("_row") - F.col("_first")).alias("row")).alias("seq"))
+    g = lambda i: F.regexp_extract("file", PATH_RE, i)
+    out = df.select("*", g(1).alias("region_type"), g(2).alias("region"), g(3).alias("disaster_type"),
                     F.try_to_date(F.concat_ws("-", g(4), g(5), g(6)), "yyyy-MM-dd").alias("run_date"))
-    # input order = (file, row in file); the id right after the scan is stable per file split
-    return (out.where(F.col("region") != "")
-            .withColumn("seq", F.monotonically_increasing_id()))
+    return out.where(F.col("region") != "")
 
 
 def links_for_dates(links: DataFrame, today: str, days_range: int = 0) -> DataFrame:
@@ -82,41 +102,64 @@ def links_for_dates(links: DataFrame, today: str, days_range: int = 0) -> DataFr
     return links.where(F.col("run_date").between(F.date_sub(t, days_range), t))
 
 
+LINK_KEYS = ["region_type", "region", "disaster_type", "run_date"]
+
+
 def write_links(df: DataFrame, root: str, fmt: str = "csv") -> None:
-    """A3 — idempotent per-partition overwrite (dynamic partition overwrite),
-    Hive-partitioned by region_type / region / disaster_type / run_date."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    keys = ["region_type", "region", "disaster_type", "run_date"]
-    # one shuffle on the partition keys → one file per region/day instead of one per task
-    (df.repartition(*keys).write.mode("overwrite").partitionBy(*keys)
+    """Idempotent per-partition overwrite (dynamic partition overwrite),
+    Hive-partitioned by region_type / region / disaster_type / run_date.
+
+    The rebalance hint gathers a partition's rows into few files and splits
+    a large region/day; the session's own overwrite mode is left alone.
+    """
+    (df.hint("rebalance", *LINK_KEYS).write.mode("overwrite").partitionBy(*LINK_KEYS)
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 1_000_000)
      .option("header", True).option("escape", '"').format(fmt).save(root))
 
 
 def clear_link_range(spark: SparkSession, root: str, start: str, end: str, region: str | None = None) -> int:
-    """A3 (first half) — remove the Hive partitions of [start, end] (one region or all).
+    """Remove the Hive partitions of [start, end] (one region or all).
 
-    Partition folders are metadata; their listing and deletion are file-
-    system calls on the driver, not data movement.
+    Only the folders of the days asked for are listed, by name; partition
+    folders are metadata, so this is file-system work on the driver.
     """
+    import datetime as dt
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(conf)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(base):
         return 0
-    pattern = f"{root}/region_type=*/region={region or '*'}/disaster_type=*/run_date=*"
-    removed = 0
-    import datetime as dt
     lo, hi = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []:
-        d = dt.date.fromisoformat(st.getPath().getName().split("=", 1)[1])
-        if lo <= d <= hi:
+    removed = 0
+    for i in range((hi - lo).days + 1):
+        pattern = f"{root}/region_type=*/region={region or '*'}/disaster_type=*/run_date={lo + dt.timedelta(i)}"
+        for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []:
             fs.delete(st.getPath(), True)
             removed += 1
     return removed
 
 
+def replace_links(df: DataFrame, root: str, start: str, end: str, region: str | None = None, fmt: str = "csv") -> int:
+    """A3 — the whole write: the days [start, end] are cleared, and the rows whose
+    ``Date`` lies in them are written under the end date, each link once
+    (the first by ``seq``).  No such row: nothing is cleared or written.
+
+    Returns the number of links written.
+    """
+    day = F.try_to_date(F.substring("Date", 1, 10), "yyyy-MM-dd")
+    rows = df.where(day.between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    payload = [c for c in rows.columns if c not in ("seq", "run_date")]
+    once = (rows.groupBy("region_type", "region", "disaster_type", "Link")
+            .agg(F.min(F.struct("seq", *[c for c in payload if c not in LINK_KEYS and c != "Link"])).alias("_r"))
+            .select("region_type", "region", "disaster_type", "Link", "_r.*").drop("seq"))
+    out = cut_lineage(once.select(*payload, F.to_date(F.lit(end)).alias("run_date")))
+    n = out.count()
+    if n:
+        clear_link_range(df.sparkSession, root, start, end, region)
+        write_links(out, root, fmt)
+    return n
+
+
 def read_links_hive(spark: SparkSession, root: str, fmt: str = "csv") -> DataFrame:
     """Read the Hive-partitioned link table written by ``write_links``."""
     r = spark.read.format(fmt).option("header", True).option("escape", '"').option("multiLine", True)
@@ -126,9 +169,11 @@ def read_links_hive(spark: SparkSession, root: str, fmt: str = "csv") -> DataFra
 
 def write_articles(df: DataFrame, root: str, extraction_date: str) -> None:
     """A4 — all articles partitioned by date and grade (the "combined" main
-    output is the high ∪ medium filter of the same data, not a copy)."""
+    output is the high ∪ medium filter of the same data, not a copy).
+    Other dates stay as they are."""
     (df.withColumn("extraction_date", F.lit(extraction_date))
-     .write.mode("overwrite").partitionBy("extraction_date", "extraction_quality").json(root))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("extraction_date", "extraction_quality").json(root))
 
 
 def read_articles(spark: SparkSession, root: str, json_arrays: bool = False) -> DataFrame:
@@ -173,19 +218,10 @@ def read_feed(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """A9 — landed feed entries (JSON lines, or RSS XML with rowTag=item);
     missing summary / source become ''."""
     if fmt == "xml":
-        df = spark.read.format("xml").option("rowTag", "item").load(path)
-        cols = set(df.columns)
-        if "source" not in cols:
-            src = F.lit("")
-        elif isinstance(df.schema["source"].dataType, T.StructType):
-            src = F.col("source._VALUE")  # <source url="…">Title</source>
-        else:
-            src = F.col("source")
-        summary = F.col("description").cast("string") if "description" in cols else F.lit(None).cast("string")
-        return df.select(F.col("title").cast("string").alias("title"), F.col("link").cast("string").alias("link"),
-                         F.col("pubDate").cast("string").alias("published"),
-                         F.coalesce(summary, F.lit("")).alias("summary"),
-                         F.coalesce(src.cast("string"), F.lit("")).alias("source_title"))
+        df = spark.read.format("xml").option("rowTag", "item").schema(ITEM_SCHEMA).load(path)
+        return df.select("title", "link", F.col("pubDate").alias("published"),
+                         F.coalesce("description", F.lit("")).alias("summary"),
+                         F.coalesce("source._VALUE", F.lit("")).alias("source_title"))
     df = spark.read.schema(FEED_SCHEMA).json(path)
     return df.select("title", "link", "published", F.coalesce("summary", F.lit("")).alias("summary"),
                      F.coalesce(F.col("source.title"), F.lit("")).alias("source_title"))

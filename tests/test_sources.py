@@ -46,6 +46,56 @@ def test_write_links_roundtrip_and_clear(spark):
     assert io.read_links_hive(spark, out).count() == 2
 
 
+def _write(root, region, day, text):
+    d = os.path.join(root, "states", region, "Monsoon", "2025", "09", day)
+    os.makedirs(d)
+    with open(os.path.join(d, "results.csv"), "w") as f:
+        f.write(text)
+
+
+def test_read_links_order_and_header(spark):
+    """Input order is path then row, whatever the sizes; columns go by name; no Link column, no rows."""
+    root = tempfile.mkdtemp(prefix="quern-links-")
+    _write(root, "assam", "02", HEADER + ROW)
+    _write(root, "bihar", "02", HEADER + ROW.replace("Daily", "first") + ROW.replace("Daily", "second") * 50)
+    _write(root, "goa", "02", "Link,Title\nhttps://g/1,by name\n")
+    _write(root, "kerala", "02", "Title,Date,Source\na,2025-09-02 10:00:00,s\n")
+    rows = io.read_links(spark, root).orderBy("seq").collect()
+    assert [r.region for r in rows] == ["assam"] + ["bihar"] * 51 + ["goa"]
+    assert (rows[1].Source, rows[2].Source) == ("first", "second")
+    assert (rows[-1].Link, rows[-1].Title, rows[-1].Date) == ("https://g/1", "by name", None)
+
+
+def test_write_articles_keeps_other_days(spark):
+    root = tempfile.mkdtemp(prefix="quern-articles-")
+    df = spark.createDataFrame([("a", "high"), ("b", "low")], "title string, extraction_quality string")
+    for day in ("2026-08-07", "2026-08-08", "2026-08-08"):
+        io.write_articles(df, root, day)
+    back = spark.read.json(root)
+    assert sorted((str(r.extraction_date), r.title) for r in back.collect()) == [
+        ("2026-08-07", "a"), ("2026-08-07", "b"), ("2026-08-08", "a"), ("2026-08-08", "b")]
+
+
+def test_replace_links(spark):
+    """Days of the range are cleared; rows in it go under the end date, once a link; nothing in, nothing done."""
+    out = tempfile.mkdtemp(prefix="quern-range-")
+    cols = "seq int, Link string, Title string, Date string, region_type string, region string, disaster_type string, run_date date"
+    import datetime as dt
+    place = ("states", "assam", "Monsoon")
+    old = [(1, "old", "t", "2025-09-01 00:00:00", *place, dt.date(2025, 9, 1)), (2, "kept", "t", "2025-08-01 00:00:00", *place, dt.date(2025, 8, 1))]
+    io.write_links(spark.createDataFrame(old, cols).drop("seq"), out)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    new = [(5, "x", "late", "2025-09-02 10:00:00", *place, None), (3, "x", "early", "2025-09-01 10:00:00", *place, None),
+           (4, "y", "t", "2025-10-01 00:00:00", *place, None), (6, "z", "t", "no date", *place, None)]
+    frame = spark.createDataFrame(new, cols)
+    assert io.replace_links(frame.where("Link = 'y'"), out, "2025-09-01", "2025-09-03") == 0
+    assert io.read_links_hive(spark, out).count() == 2
+    assert io.replace_links(frame, out, "2025-09-01", "2025-09-03") == 1
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    got = sorted((r.Link, r.Title, str(r.run_date)) for r in io.read_links_hive(spark, out).collect())
+    assert got == [("kept", "t", "2025-08-01"), ("x", "early", "2025-09-03")]
+
+
 def test_stats_and_feed(spark):
     d = tempfile.mkdtemp(prefix="quern-stats-")
     for day, n in [("2026-08-07", 5), ("2026-08-08", 13)]:
