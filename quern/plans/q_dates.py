@@ -151,6 +151,9 @@ def collect_entries(spark, sf):
     return B.collect_entries(links(spark, sf), TERMS, START, END, "Monsoon", "en", context=CONTEXT)
 
 
+COLLECT_LINKS_SQL = (f"SELECT DISTINCT link AS \"Link\" FROM {KEPT_SQL} WHERE {_rel('title')} AND {_rel(COMBINED)}")
+
+
 @register("drop_bad_dates",
           f"SELECT seq, {_sql_ist('published')} AS \"Date\" FROM {LINKS_SQL} "
           f"WHERE TRY_CAST({_sql_ist('published')} AS TIMESTAMP) IS NOT NULL", "B12")

@@ -3,9 +3,8 @@
 J1 ``stream_links``      — feed entries → relevance + date filter → per-link
                            dedup across micro-batches (watermarked).
 J2 ``stream_request_health`` — requests / success % per key per event-time
-                           window, watermarked.
-J3 ``stream_failure_alerts`` — per-key circuit breaker as arbitrary state
-                           (``applyInPandasWithState``), event time.
+                           window (tumbling or sliding), watermarked, append.
+J3 ``stream_failure_alerts`` — windows in which a key failed too often.
 
 ``run_available_now`` drives a stream to the end of its input
 (``trigger(availableNow=True)``) into a parquet folder under the shared
@@ -18,14 +17,12 @@ from __future__ import annotations
 import os
 import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from quern.functions import relevance as R
 from quern.operators import filters as B
-from quern.session import checkpoint_dir, ship_package
+from quern.session import checkpoint_dir
 
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 ORDERS_SCHEMA = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
@@ -39,21 +36,14 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str) -> Da
             .load(sf_dir))
 
 
-def run_available_now(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run ``stream`` to the end of its input, write parquet, read it back."""
+def run_available_now(stream: DataFrame, name: str) -> DataFrame:
+    """Run ``stream`` to the end of its input in append mode, read the output back."""
     spark = stream.sparkSession
     base = os.path.join(checkpoint_dir(spark), f"stream-{name}-{uuid.uuid4().hex[:8]}")
-    out, ckpt = os.path.join(base, "out"), os.path.join(base, "_checkpoint")
-    if mode == "complete":
-        def sink(batch, _epoch):
-            batch.write.mode("overwrite").parquet(out)
-        q = (stream.writeStream.outputMode("complete").foreachBatch(sink)
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    else:
-        q = (stream.writeStream.outputMode(mode).format("parquet").option("path", out)
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q = (stream.writeStream.outputMode("append").format("parquet").option("path", os.path.join(base, "out"))
+         .option("checkpointLocation", os.path.join(base, "_checkpoint")).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.schema(stream.schema).parquet(os.path.join(base, "out"))
 
 
 # ------------------------------------------------------------------ J1
@@ -70,81 +60,30 @@ def stream_links(entries: DataFrame, terms, start: str, end: str, watermark: str
 
 # ------------------------------------------------------------------ J2
 
-def stream_request_health(log: DataFrame, duration: str = "1 hour", watermark: str = "2 hours",
-                          key: str = "key") -> DataFrame:
-    """Requests and success % per key per tumbling window of event time."""
+def stream_request_health(log: DataFrame, duration: str = "1 hour", slide: str | None = None,
+                          watermark: str = "2 hours", key: str = "key") -> DataFrame:
+    """Requests and success % per key per tumbling or sliding window of event
+    time.  In append mode a window is emitted, and its state dropped, once
+    the watermark has passed its end."""
     x = log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-    return (x.groupBy(F.window("ts", duration).alias("window"), key)
+    window = F.window("ts", duration, slide) if slide else F.window("ts", duration)
+    return (x.groupBy(window.alias("window"), key)
             .agg(F.count(F.lit(1)).alias("requests"), F.count_if("success").alias("successful"))
-            .select(F.col("window.start").alias("window_start"), key, "requests", "successful",
-                    (F.col("successful") / F.col("requests") * 100).alias("success_rate")))
+            .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), key,
+                    "requests", "successful", (F.col("successful") / F.col("requests") * 100).alias("success_rate")))
 
 
 # ------------------------------------------------------------------ J3
 
+#: Failures of a key within a window that raise an alert.
 FAILURE_THRESHOLD = 5
-RECOVERY_SECONDS = 300
-
-ALERT_SCHEMA = "key long, ts timestamp, event_id long, from_state string, to_state string, failures int"
-STATE_SCHEMA = "state string, failures int, last_failure_us long"
-
-
-def breaker_step(state, failures, last_failure_us, rows, threshold=FAILURE_THRESHOLD,
-                 recovery_us=RECOVERY_SECONDS * 1_000_000):
-    """Advance one key's breaker over its requests (sorted by ts, event_id).
-
-    Returns the new state and the transitions.  Requests arriving while
-    the breaker is open and inside the recovery time are skipped (the
-    client would not send them); the first one after it moves the breaker
-    to half-open.  A success in half-open closes it and zeroes the count;
-    in closed a success leaves the count alone.
-    """
-    out = []
-    for ts_us, ev, ok in rows:
-        if state == "open":
-            if last_failure_us is not None and ts_us - last_failure_us < recovery_us:
-                continue
-            out.append((ts_us, ev, "open", "half-open", failures))
-            state = "half-open"
-        if ok:
-            if state == "half-open":
-                out.append((ts_us, ev, "half-open", "closed", 0))
-                state, failures = "closed", 0
-        else:
-            failures += 1
-            last_failure_us = ts_us
-            if failures >= threshold and state != "open":
-                out.append((ts_us, ev, state, "open", failures))
-                state = "open"
-    return state, failures, last_failure_us, out
-
-
-def _alerts(key, pdfs, group_state):
-    (k,) = key
-    if group_state.exists:
-        state, failures, last = group_state.get
-    else:
-        state, failures, last = "closed", 0, None
-    rows = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"])
-    ts_us = (rows["ts"].astype("int64") // 1000).tolist()
-    state, failures, last, out = breaker_step(state, failures, last,
-                                              zip(ts_us, rows["event_id"].tolist(), rows["success"].tolist()))
-    group_state.update((state, int(failures), last))
-    if out:
-        yield pd.DataFrame({"key": [k] * len(out),
-                            "ts": pd.to_datetime([o[0] for o in out], unit="us"),
-                            "event_id": [o[1] for o in out],
-                            "from_state": [o[2] for o in out], "to_state": [o[3] for o in out],
-                            "failures": [o[4] for o in out]})
-
-
-def stream_failure_alerts(log: DataFrame, key: str = "key") -> DataFrame:
-    """Per-key circuit-breaker transitions over the request stream.
-
-    State per key is three scalars; each micro-batch's rows of a key are
-    ordered by event time before they advance the state.
-    """
-    ship_package(log.sparkSession)
-    x = log.select(F.col(key).alias("key"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "success")
-    return x.groupBy("key").applyInPandasWithState(
-        _alerts, ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_failure_alerts(log: DataFrame, duration: str = "5 minutes", threshold: int = FAILURE_THRESHOLD,
+                          watermark: str = "2 hours", key: str = "key") -> DataFrame:
+    """Windows in which a key failed at least ``threshold`` times: a plain
+    windowed count per key, whose state goes with the watermark."""
+    x = (log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark).where(~F.col("success")))
+    return (x.groupBy(F.window("ts", duration).alias("window"), key).agg(F.count(F.lit(1)).alias("failures"))
+            .where(F.col("failures") >= threshold)
+            .select(F.col("window.start").alias("window_start"), key, "failures"))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from quern.operators import dedup as D
 from quern.operators import ranking as RK
-from quern.streaming.jobs import breaker_step
 
 RANK = {"high": 3, "medium": 2, "low": 1}
 
@@ -64,18 +63,6 @@ def test_running_sum_matches_brute_force(spark):
         seen[g] = seen.get(g, 0) + 1
 
 
-def test_breaker_transitions():
-    s = 1_000_000
-    rows = [(i * s, i, False) for i in range(5)]              # 5 failures → open
-    rows += [(10 * s, 5, True)]                                # inside 300 s → skipped
-    rows += [(400 * s, 6, True)]                               # → half-open, success → closed
-    state, fails, last, out = breaker_step("closed", 0, None, rows)
-    assert [(o[2], o[3]) for o in out] == [("closed", "open"), ("open", "half-open"), ("half-open", "closed")]
-    assert state == "closed" and fails == 0
-    # in closed, a success does not reset the count
-    state, fails, _, out = breaker_step("closed", 3, None, [(0, 1, True), (1, 2, False)])
-    assert fails == 4 and out == []
-
 
 def test_parse_page_fields():
     from quern.operators.pages import parse_page
