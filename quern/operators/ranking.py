@@ -24,28 +24,35 @@ from pyspark.sql import Window
 DEFAULT_WIDTH = 1 << 20
 
 
-def running_sum(df: DataFrame, group: str | list[str], order: str, value, out: str,
-                inclusive: bool = True, width: int = DEFAULT_WIDTH,
-                bucket=None, tiebreak: str | None = None) -> DataFrame:
-    """Running sum of ``value`` inside ``group`` ordered by ``order`` (then ``tiebreak``).
+def running_sums(df: DataFrame, group: str | list[str], order: str, values: dict,
+                 width: int = DEFAULT_WIDTH, bucket=None, tiebreak: str | None = None) -> DataFrame:
+    """Running sums (the row included) of several values inside ``group``
+    ordered by ``order`` (then ``tiebreak``), in one pass.
 
+    ``values`` maps output columns to summed columns or expressions.
     ``bucket`` overrides the bucket expression (default ``floor(order / width)``
     for an integral ``order``; pass e.g. a time bucket for timestamps).
     """
     groups = [group] if isinstance(group, str) else list(group)
-    v = F.col(value) if isinstance(value, str) else value
     b = bucket if bucket is not None else F.floor(F.col(order) / F.lit(width))
-    x = df.withColumn("_b", b).withColumn("_v", v.cast("bigint"))
-    tot = x.groupBy(*groups, "_b").agg(F.sum("_v").alias("_bt"))
+    x = df.withColumns({"_b": b, **{f"_v_{o}": (F.col(v) if isinstance(v, str) else v).cast("bigint") for o, v in values.items()}})
+    tot = x.groupBy(*groups, "_b").agg(*[F.sum(f"_v_{o}").alias(f"_t_{o}") for o in values])
     wb = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(*groups, "_b", F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_off"))
-    orders = [order] + ([tiebreak] if tiebreak else [])
-    frame = (Window.partitionBy(*groups, "_b").orderBy(*orders)
-             .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-    local = F.coalesce(F.sum("_v").over(frame), F.lit(0))
-    return (x.withColumn("_local", local).join(offs, groups + ["_b"])
-            .withColumn(out, F.col("_off") + F.col("_local"))
-            .drop("_b", "_v", "_off", "_local"))
+    offs = tot.select(*groups, "_b", *[F.coalesce(F.sum(f"_t_{o}").over(wb), F.lit(0)).alias(f"_off_{o}") for o in values])
+    frame = (Window.partitionBy(*groups, "_b").orderBy(*[order] + ([tiebreak] if tiebreak else []))
+             .rowsBetween(Window.unboundedPreceding, 0))
+    x = x.withColumns({f"_l_{o}": F.coalesce(F.sum(f"_v_{o}").over(frame), F.lit(0)) for o in values}).join(offs, groups + ["_b"])
+    x = x.withColumns({o: F.col(f"_off_{o}") + F.col(f"_l_{o}") for o in values})
+    return x.drop("_b", *[f"_{k}_{o}" for o in values for k in ("v", "off", "l")])
+
+
+def running_sum(df: DataFrame, group: str | list[str], order: str, value, out: str,
+                inclusive: bool = True, width: int = DEFAULT_WIDTH,
+                bucket=None, tiebreak: str | None = None) -> DataFrame:
+    """:func:`running_sums` of one value, with or without the row itself."""
+    v = F.col(value) if isinstance(value, str) else value
+    x = running_sums(df, group, order, {out: v}, width, bucket, tiebreak)
+    return x if inclusive else x.withColumn(out, F.col(out) - F.coalesce(v.cast("bigint"), F.lit(0)))
 
 
 def rank_in_group(df: DataFrame, group: str | list[str], order: str, out: str = "_rank",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.operators.aggs import pct
-from quern.operators.ranking import running_sum
+from quern.operators.ranking import running_sums
 
 BUCKET_SECONDS = 3600
 
@@ -28,9 +28,9 @@ def with_positions(log: DataFrame, key: str = "key", ts: str = "ts", tiebreak: s
                    bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Adds ``pos`` (0-based request number per key), ``n_ok`` (successes so
     far, inclusive) and ``n_fail`` (failures so far, inclusive)."""
-    b = time_bucket(ts, bucket_seconds)
-    x = running_sum(log, key, ts, F.lit(1), "pos", inclusive=False, bucket=b, tiebreak=tiebreak)
-    x = running_sum(x, key, ts, F.col("success").cast("int"), "n_ok", bucket=b, tiebreak=tiebreak)
+    x = running_sums(log, key, ts, {"pos": F.lit(1), "n_ok": F.col("success").cast("int")},
+                     bucket=time_bucket(ts, bucket_seconds), tiebreak=tiebreak)
+    x = x.withColumn("pos", F.col("pos") - 1)
     return x.withColumn("n_fail", F.col("pos") + 1 - F.col("n_ok"))
 
 
@@ -89,30 +89,32 @@ def request_totals(log: DataFrame) -> DataFrame:
                 .alias("success_rate"))
 
 
-def searches(log: DataFrame, attempts: int = 4, key: str = "key", **kw) -> DataFrame:
-    """Group each key's requests into searches of ``attempts`` tries."""
-    p = with_positions(log, key, **kw)
-    return p.withColumn("search_no", F.floor(F.col("pos") / attempts))
-
+def banned_patterns(log: DataFrame, lang: F.Column, attempts: int = 4, key: str = "key",
+                    search: str = "search_id", **kw) -> DataFrame:
+    """G9 — searches whose ``attempts`` attempts all failed and at whose end the
+    key's run of failures is at least 3 (so two attempts suffice after an
+    earlier failure, and a search cut short is not banned); pattern id =
+    first 8 hex digits of md5('{query}_{lang}').
 
-def banned_patterns(log: DataFrame, lang: F.Column, attempts: int = 4, key: str = "key", **kw) -> DataFrame:
-    """G9 — searches whose attempts all failed while the key's failure streak
-    reached 3; pattern id = first 8 hex digits of md5('{query}_{lang}')."""
-    s = searches(log, attempts, key, **kw).withColumn("_lang", lang)
-    g = s.groupBy(key, "search_no", "_lang").agg(
+    The run at a request is its number minus that of the key's last success.
+    """
+    p = with_positions(log, key, **kw).withColumn("_lang", lang)
+    g = p.groupBy(key, search, "_lang").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("success").alias("ok"),
-        F.max(F.col("pos") + 1 - F.col("n_ok")).alias("_f"))
-    # a run of failed attempts ending the search is the key's current streak
-    q = F.concat(F.lit("q"), F.col(key).cast("string"), F.lit("-"), F.col("search_no").cast("string"))
-    return (g.where((F.col("ok") == 0) & (F.col("n") >= 3))
-            .select(key, "search_no", F.col("_lang").alias("lang"), q.alias("query"),
+        F.max(F.struct("pos", "n_ok")).alias("last"))
+    oks = p.where("success").select(F.col(key), F.col("n_ok").alias("_k"), F.col("pos").alias("_ok_pos"))
+    q = F.concat(F.lit("q"), F.col(key).cast("string"), F.lit("-"), F.col(search).cast("string"))
+    g = (g.where((F.col("ok") == 0) & (F.col("n") == attempts))
+         .withColumn("_k", F.col("last.n_ok")).join(oks, [key, "_k"], "left")
+         .withColumn("streak", F.col("last.pos") - F.coalesce("_ok_pos", F.lit(-1))))
+    return (g.where(F.col("streak") >= 3)
+            .select(key, search, F.col("_lang").alias("lang"), q.alias("query"),
                     F.substring(F.md5(F.concat(q, F.lit("_"), F.col("_lang"))), 1, 8).alias("pattern")))
 
 
-def query_success_by_language(log: DataFrame, lang: F.Column, attempts: int = 4, key: str = "key", **kw) -> DataFrame:
+def query_success_by_language(log: DataFrame, lang: F.Column, key: str = "key", search: str = "search_id") -> DataFrame:
     """F10 — per language, % of searches with at least one success."""
-    s = searches(log, attempts, key, **kw).withColumn("lang", lang)
-    per = s.groupBy(key, "search_no", "lang").agg(F.count_if("success").alias("ok"))
+    per = log.withColumn("lang", lang).groupBy(key, search, "lang").agg(F.count_if("success").alias("ok"))
     return per.groupBy("lang").agg(F.count(F.lit(1)).alias("queries"),
                                    F.count_if(F.col("ok") > 0).alias("with_results")) \
         .select("lang", "queries", "with_results", pct("with_results", "queries").alias("success_pct"))

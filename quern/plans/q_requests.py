@@ -94,24 +94,32 @@ def recent_failure_pattern(spark, sf):
     return R.rolling_failure_rate(log(spark, sf), 5)
 
 
+# Four requests of a key in a row make a search here.
+SEARCH_SQL = f"(SELECT *, pos // 4 AS search_id, {LANG_SQL} AS lang FROM {POS_SQL})"
+
+
+def search_log(spark, sf):
+    return R.with_positions(log(spark, sf)).withColumn("search_id", F.floor(F.col("pos") / 4)).drop("pos", "n_ok", "n_fail")
+
+
 @register("banned_patterns",
-          f"""WITH s AS (SELECT key, pos // 4 AS search_no, {LANG_SQL} AS lang, success FROM {POS_SQL})
-              SELECT key, search_no, lang, 'q' || CAST(key AS VARCHAR) || '-' || CAST(search_no AS VARCHAR) AS query,
-                     substring(md5('q' || CAST(key AS VARCHAR) || '-' || CAST(search_no AS VARCHAR) || '_' || lang), 1, 8) AS pattern
-              FROM s GROUP BY key, search_no, lang
-              HAVING count(*) FILTER (WHERE success) = 0 AND count(*) >= 3""", "G9")
+          f"""WITH s AS (SELECT *, pos - coalesce(max(CASE WHEN success THEN pos END) OVER (PARTITION BY key ORDER BY ts, event_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS streak FROM {SEARCH_SQL})
+              SELECT key, search_id, lang, 'q' || CAST(key AS VARCHAR) || '-' || CAST(search_id AS VARCHAR) AS query,
+                     substring(md5('q' || CAST(key AS VARCHAR) || '-' || CAST(search_id AS VARCHAR) || '_' || lang), 1, 8) AS pattern
+              FROM s GROUP BY key, search_id, lang
+              HAVING count(*) FILTER (WHERE success) = 0 AND count(*) = 4 AND arg_max(streak, pos) >= 3""", "G9")
 def banned_patterns(spark, sf):
-    return R.banned_patterns(log(spark, sf), _lang_col())
+    return R.banned_patterns(search_log(spark, sf), _lang_col(), attempts=4)
 
 
 @register("query_success_by_language",
-          f"""WITH s AS (SELECT key, pos // 4 AS search_no, {LANG_SQL} AS lang, success FROM {POS_SQL}),
-              q AS (SELECT key, search_no, lang, count(*) FILTER (WHERE success) AS ok FROM s GROUP BY ALL)
+          f"""WITH q AS (SELECT key, search_id, lang, count(*) FILTER (WHERE success) AS ok FROM {SEARCH_SQL} GROUP BY ALL)
               SELECT lang, count(*) AS queries, count(*) FILTER (WHERE ok > 0) AS with_results,
                      round_even(CAST(count(*) FILTER (WHERE ok > 0) AS DOUBLE) / count(*) * 100, 2) AS success_pct
               FROM q GROUP BY lang""", "F10")
 def query_success_by_language(spark, sf):
-    return R.query_success_by_language(log(spark, sf), _lang_col())
+    return R.query_success_by_language(search_log(spark, sf), _lang_col())
 
 
 @register("top_keys_by_success",
@@ -134,7 +142,7 @@ def request_health_hourly(spark, sf):
 
 
 @register("coverage_gaps",
-          """WITH days AS (SELECT CAST(d AS DATE) AS day FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY) t(d)),
+          """WITH days AS (SELECT CAST(d AS DATE) AS day FROM range(DATE '2024-01-01', DATE '2025-01-01', INTERVAL 1 DAY) t(d)),
              spine AS (SELECT n_name AS region, day FROM nation, days),
              hits AS (SELECT DISTINCT n.n_name AS region, CAST(e.ts AS DATE) AS day FROM events e
                       JOIN nation n ON n.n_nationkey = e.user_id % 25)
@@ -143,5 +151,5 @@ def coverage_gaps(spark, sf):
     nation = A.table(spark, sf, "nation").select(F.col("n_nationkey"), F.col("n_name").alias("region"))
     ev = A.table(spark, sf, "events").select((F.col("user_id") % 25).cast("int").alias("n_nationkey"),
                                              F.to_date("ts").alias("day"))
-    counts = ev.join(F.broadcast(nation), "n_nationkey").select("region", "day")
-    return J.coverage_gaps(nation.select("region"), counts, "2024-01-01", "2024-01-31")
+    counts = ev.join(nation, "n_nationkey").select("region", "day")
+    return J.coverage_gaps(nation.select("region"), counts, "2024-01-01", "2024-12-31")
