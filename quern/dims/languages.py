@@ -81,6 +81,66 @@ ENGLISH_TERMS = [
     "water level", "dam overflow", "bridge collapse",
 ]
 
+# The keyword lists of the regional languages with most regions.
+# Lists of other languages are a parameter (``read_terms``); without one a
+# language falls back to English.
+REGIONAL_TERMS = {
+    "hi": [
+        "मॉनसून", "भारी बारिश", "बादल फटना", "बाढ़",
+        "फ्लैश फ्लड", "जलभराव", "भूस्खलन",
+        "चक्रवात", "बिजली कटौती", "पाइपलाइन फटना",
+        "सीवर ओवरफ्लो", "सर्पदंश", "हैजा",
+        "डेंगू", "मलेरिया", "आर्थिक नुकसान", "मृत्यु",
+        "वर्षा", "तूफान", "मौसम चेतावनी", "बचाव अभियान",
+        "राहत शिविर", "निकासी", "जल स्तर", "बांध टूटना",
+    ],
+    "ta": [
+        "பருவமழை", "கனமழை", "மேக வெடிப்பு", "வெள்ளம்",
+        "ஆக்சடி வெள்ளம்", "நீர்ப்படிவு", "மண் சரிவு",
+        "சுழல்காற்று", "மின்சாரம் துண்டிப்பு", "குழாய் வெடிப்பு",
+        "கழிவு நீர் முழக்கம்", "பாம்பு கடி", "காலிரா",
+        "டெங்கு", "மலேரியா", "பொருளாதார இழப்பு", "உயிரிழப்பு",
+        "மழைப்பொழிவு", "புயல்", "வானிலை எச்சரிக்கை",
+        "மீட்பு நடவடிக்கை", "நிவாரண முகாம்", "வெளியேற்றம்",
+    ],
+    "te": [
+        "మోన్సూన్", "భారీ వర్షం", "మేఘ విరేచనం", "వరదలు",
+        "ఫ్లాష్ వరద", "నీటి నిల్వ", "భూస్ఖలనం",
+        "చక్రవాతం", "విద్యుత్ కోత", "పైప్ పేలుడు",
+        "కాలువ పొర్లడం", "పాము కాటు", "కాలరా",
+        "డెంగ్యూ", "మలేరియా", "ఆర్థిక నష్టం", "మరణాలు",
+        "వర్షపాతం", "తుఫాను", "వాతావరణ హెచ్చరిక",
+        "రక్షణ చర్యలు", "ఉపశమన శిబిరాలు", "తరలింపు",
+    ],
+    "bn": [
+        "বর্ষা", "ভারী বৃষ্টি", "মেঘভাঙা বৃষ্টি", "বন্যা",
+        "হঠাৎ বন্যা", "জলাবদ্ধতা", "ভূমিধস",
+        "ঘূর্ণিঝড়", "বিদ্যুৎ বিভ্রাট", "পাইপলাইন ফাটল",
+        "পয়ঃপ্রণালী উপচে পড়া", "সাপের কামড়", "কলেরা",
+        "ডেঙ্গু", "ম্যালেরিয়া", "আর্থিক ক্ষতি", "মৃত্যু",
+        "বৃষ্টিপাত", "ঝড়", "আবহাওয়া সতর্কতা",
+        "উদ্ধার কার্যক্রম", "ত্রাণ শিবির", "সরিয়ে নেওয়া",
+    ],
+    "gu": [
+        "ચોમાસું", "ભારે વરસાદ", "બાદલ ફાટવું", "પૂર",
+        "ફ્લૅશ પૂર", "જળભરાવ", "ભૂસ્ખલન",
+        "ચક્રવાત", "વિજળી કપાત", "પાઇપ લિકેજ",
+        "ગટર ઉપરછાપો", "સાપડંખ", "હૈજા",
+        "ડેંગ્યુ", "મલેરિયા", "આર્થિક નુકસાન", "મૃત્યુ",
+        "વરસાદ", "તોફાન", "હવામાન ચેતવણી",
+        "બચાવ કામગીરી", "રાહત કેમ્પ", "સ્થળાંતર",
+    ],
+    "mr": [
+        "पावसाळा", "मुसळधार पाऊस", "ढगफुटी", "पूर",
+        "अचानक पूर", "पाणी साचणे", "भूस्खलन",
+        "चक्रीवादळ", "वीज कपात", "पाईप फुटणे",
+        "मैला पाणी ओसंडणे", "साप चावणे", "हैजा",
+        "डेंगी", "मलेरिया", "आर्थिक नुकसान", "मृत्यू",
+        "पर्जन्यवृष्टी", "वादळ", "हवामान सावधगिरी",
+        "बचाव कार्य", "मदत छावणी", "स्थलांतर",
+    ],
+}
+
 # Newspaper language names → code, tested in this order (C17).
 NEWSPAPER_LANGUAGE = [
     ("english", "en"), ("hindi", "hi"), ("tamil", "ta"), ("telugu", "te"),
@@ -111,6 +171,13 @@ def regions_frame(spark: SparkSession, with_national: bool = True) -> DataFrame:
     return spark.createDataFrame(rows, "region_type string, region string, ord int")
 
 
+def read_terms(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Keyword lists of further languages from a JSON-lines file of
+    {"lang": ..., "terms": [...]}: the parameter of :func:`terms_frame`."""
+    rows = spark.read.schema("lang string, terms array<string>").json(path).collect()  # one row a language
+    return {r["lang"]: list(r["terms"]) for r in rows if r["lang"] and r["terms"]}
+
+
 def region_languages_frame(spark: SparkSession) -> DataFrame:
     """(region, ord, lang) — 102 ordered pairs."""
     rows = [(r, i, lang) for r, langs in REGION_LANGUAGES.items() for i, lang in enumerate(langs)]
@@ -126,7 +193,10 @@ def language_names_frame(spark: SparkSession) -> DataFrame:
 
 
 def terms_frame(spark: SparkSession, terms: dict[str, list[str]] | None = None) -> DataFrame:
-    """(lang, ord, term) keyword table; list semantics (repeats kept)."""
-    terms = {"en": ENGLISH_TERMS, **(terms or {})}
+    """(lang, ord, term) keyword table; list semantics (repeats kept).
+
+    ``terms`` adds or replaces the lists of languages.
+    """
+    terms = {"en": ENGLISH_TERMS, **REGIONAL_TERMS, **(terms or {})}
     rows = [(lang, i, t) for lang, ts in terms.items() for i, t in enumerate(ts)]
     return spark.createDataFrame(rows, "lang string, ord int, term string")

@@ -27,8 +27,9 @@ def _terms(terms) -> Column:
 
 def term_hits(text, terms) -> Column:
     """C15 — the terms (list order, repeats kept) found in lower(text)."""
-    low = F.lower(F.coalesce(_c(text), F.lit("")))
-    return F.filter(_terms(terms), lambda t: F.instr(low, F.lower(t)) > 0)
+    low = F.array(F.lower(F.coalesce(_c(text), F.lit(""))))
+    # the lowered text is the (only) element of the outer array, so it is made once a row
+    return F.flatten(F.transform(low, lambda x: F.filter(_terms(terms), lambda t: F.instr(x, F.lower(t)) > 0)))
 
 
 def count_present(low: Column, phrases) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from quern.dims import languages as dims
 from quern.functions import url as U
 from quern.functions.text import py_strip
+from quern.operators.common import materialize
 
 
 # ------------------------------------------------------------------ E5 / E3
@@ -27,17 +28,15 @@ from quern.functions.text import py_strip
 def relevance_by_language(df: DataFrame, terms: DataFrame, lang: str = "lang") -> DataFrame:
     """E5 — attach the term list of each row's language; unknown → English.
 
-    ``terms`` is the (lang, ord, term) parameter table: one row per term of
-    a handful of languages, so the per-language arrays are broadcast.
+    ``terms`` is the (lang, ord, term) parameter table; the planner decides
+    by its size how to join it. The English fallback is a literal.
     """
     arrays = (terms.groupBy("lang")
               .agg(F.array_sort(F.collect_list(F.struct("ord", "term"))).alias("_t"))
               .select(F.col("lang").alias("_lang"), F.transform("_t", lambda s: s["term"]).alias("terms")))
-    en = arrays.where(F.col("_lang") == "en").select(F.col("terms").alias("_en"), F.lit(1).alias("_one"))
-    out = (df.join(F.broadcast(arrays), F.col(lang) == F.col("_lang"), "left")
-           .withColumn("_one", F.lit(1))
-           .join(F.broadcast(en), "_one", "left"))
-    return out.withColumn("terms", F.coalesce("terms", "_en")).drop("_lang", "_en", "_one")
+    english = F.array(*[F.lit(t) for t in dims.ENGLISH_TERMS])
+    return (df.join(arrays, F.col(lang) == F.col("_lang"), "left")
+            .withColumn("terms", F.coalesce("terms", english)).drop("_lang"))
 
 
 def region_language_terms(regions: DataFrame, terms: DataFrame, region: str = "region") -> DataFrame:
@@ -50,12 +49,12 @@ def region_language_terms(regions: DataFrame, terms: DataFrame, region: str = "r
 
 # ------------------------------------------------------------------ H5
 
-def union_entries(*parts: DataFrame, offset: int = 1_000_000_000, seq: str = "seq") -> DataFrame:
-    """H5 — bag concatenation; ``seq`` of part i is shifted by i·offset so
-    "first" keeps meaning input order across the parts."""
+def union_entries(*parts: DataFrame, part: str = "part") -> DataFrame:
+    """H5 — bag concatenation; rows keep their own ``seq`` and get the number
+    of their ``part``, so input order is (part, seq) whatever the ids are."""
     out = None
     for i, p in enumerate(parts):
-        p = p.withColumn(seq, F.col(seq) + F.lit(i * offset))
+        p = p.withColumn(part, F.lit(i))
         out = p if out is None else out.unionByName(p)
     return out
 
@@ -79,11 +78,12 @@ def sources_for_region(directory: DataFrame, strategies: DataFrame, region: str
     """E4 — per region, the directory rows matched by its first strategy that
     matches anything (case-insensitive ``contains``).
 
-    ``strategies`` has a fixed size (regions × ≤ 7 patterns) and is broadcast;
-    the directory streams through one nested-loop pass.
+    ``contains`` is tried on the distinct state names only (as many as there
+    are states); the directory itself is joined by equality.
     """
-    m = directory.join(F.broadcast(strategies),
-                       F.instr(F.lower(F.col(f"`{state_col}`")), F.lower(F.col("pattern"))) > 0)
+    states = directory.select(F.lower(F.col(f"`{state_col}`")).alias("_state")).distinct()
+    names = states.join(strategies, F.instr(F.col("_state"), F.lower("pattern")) > 0)
+    m = directory.withColumn("_state", F.lower(F.col(f"`{state_col}`"))).join(names, "_state").drop("_state")
     best = m.groupBy(region).agg(F.min("prio").alias("prio"))
     return m.join(best, [region, "prio"]).drop("pattern")
 
@@ -148,13 +148,16 @@ def saved_searches(region_terms: DataFrame, region: str = "region", lang: str =
 
 
 def saved_search_match(docs: DataFrame, searches: DataFrame, region: str = "region", lang: str = "lang",
-                       text: str = "text") -> DataFrame:
+                       text: str = "text", mention: str | None = None) -> DataFrame:
     """E8 — documents matched by the saved searches of their (region, language):
-    an equi-join on (region, lang), then any phrase contained in lower(text)."""
-    j = docs.join(searches, [region, lang])
-    low = F.lower(F.col(text))
-    hit = F.exists("phrases", lambda p: F.instr(low, F.lower(p)) > 0)
-    return j.where(hit)
+    an equi-join on (region, lang), then any phrase contained in lower(text)
+    and, with ``mention`` (the column holding the region's words as the search
+    has them), the region in the text as well."""
+    j = materialize(docs, _low=F.lower(F.col(text))).join(searches, [region, lang])
+    hit = F.exists("phrases", lambda p: F.instr(F.col("_low"), F.lower(p)) > 0)
+    if mention:
+        hit = hit & (F.instr(F.col("_low"), F.lower(F.col(mention))) > 0)
+    return j.where(hit).drop("_low")
 
 
 # ------------------------------------------------------------------ E1 / E2
@@ -282,9 +285,10 @@ def link_final_to_original(finals: DataFrame, links: DataFrame, group: str = "cs
 
 
 def enrich_metadata(matched: DataFrame, links: DataFrame, group: str = "csv",
-                    link_seq: str = "seq") -> DataFrame:
+                    link_seq: str = "seq", extracted_title: str | None = None) -> DataFrame:
     """E2 — attach the CSV row of the matched link (a repeated Link: last row
-    wins); no match → blanks.  Adds ``other_info`` and ``csv_title``."""
+    wins); no match → blanks.  Adds ``other_info`` and, where the column of the page's
+    own title is named, ``title``: the row's title, else the page's."""
     cols = ["Title", "Source", "Summary", "Date", "Term", "LanguageQueried"]
     last = (links.select(F.col(group), py_strip(F.col("Link")).alias("matched_link"),
                          F.struct(F.col(link_seq).alias("_s"), *[F.col(c) for c in cols]).alias("r"))
@@ -292,4 +296,9 @@ def enrich_metadata(matched: DataFrame, links: DataFrame, group: str = "csv",
     j = matched.join(last, [group, "matched_link"], "left")
     info = F.struct(*[F.coalesce(F.col(f"r.{c}"), F.lit("")).alias(f"csv_{c.lower() if c != 'LanguageQueried' else 'language_queried'}")
                       for c in cols])
-    return j.withColumn("other_info", info).drop("r")
+    out = j.withColumn("other_info", info).drop("r")
+    if extracted_title is None:
+        return out
+    # the title of the link row, else the one found in the page
+    return out.withColumn("title", F.when(F.col("other_info.csv_title") != "", F.col("other_info.csv_title"))
+                          .otherwise(F.coalesce(F.col(extracted_title), F.lit(""))))

@@ -347,9 +347,9 @@ def absolutize(href: Column, base_url: Column) -> Column:
             .when(href.startswith("http://") | href.startswith("https://"), href))
 
 
-def page_links(parsed: DataFrame, terms: list[str], run_date: str, per_page: int = 4) -> DataFrame:
-    """D5 + H4 — candidate article links of each page (three strategies),
-    distinct in first-seen order, at most ``per_page`` per page.
+def page_links(parsed: DataFrame, terms: list[str], run_date: str) -> DataFrame:
+    """D5 — all candidate article links of each page (three strategies),
+    distinct in first-seen order.
 
     Everything is per-row array work on the page's anchors: no shuffle.
     """
@@ -386,7 +386,12 @@ def page_links(parsed: DataFrame, terms: list[str], run_date: str, per_page: int
 
     found = F.concat(F.transform("anchors", s1), F.transform("anchors", s2), F.transform("anchors", s3))
     links = F.array_distinct(F.filter(found, lambda x: x.isNotNull()))
-    return parsed.select("page_id", F.posexplode(F.slice(links, 1, per_page)).alias("link_ord", "link"))
+    return parsed.select("page_id", F.posexplode(links).alias("link_ord", "link"))
+
+
+def first_n(rows: DataFrame, n: int, order: str = "link_ord") -> DataFrame:
+    """H4 — the first ``n`` rows of each group; ``order`` already numbers them from 0."""
+    return rows.where(F.col(order) < n)
 
 
 def validate_page_article(fields: DataFrame, terms, start: str, end: str, source: str = "",
@@ -404,4 +409,4 @@ def validate_page_article(fields: DataFrame, terms, start: str, end: str, source
                     F.lit("Monsoon").alias("Term"), L.script_language_first(combined).alias("LanguageQueried"))
 
 
-__all__ = ["parse_pages", "page_fields", "page_links", "validate_page_article"]
+__all__ = ["parse_pages", "page_fields", "page_links", "first_n", "validate_page_article"]

@@ -22,24 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread per-row text work over all task slots.
-
-    A large table arrives in many files/row groups and is already split
-    by the scan, so nothing happens.  A table stored as a few big row
-    groups (the test tables hold one) would run its regex-heavy per-row
-    work in one task; only then is it dealt round-robin to the slots.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots)
-
-
-def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(table(spark, sf_dir, name))
-
-
 def article_url(doc_id) -> F.Column:
     """Four documents per URL over two hosts, so every dedup stage bites."""
     g = F.floor(doc_id / 4).cast("bigint")
@@ -48,9 +30,9 @@ def article_url(doc_id) -> F.Column:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents → article rows (§1 Article) with a stable ``seq``."""
-    d = text_table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents")
     final_url = article_url(F.col("doc_id"))
-    title = T.clip(T.first_line("text"), 120)
+    title = T.first_line("text")
     return d.select(
         F.col("doc_id").alias("seq"),
         F.col("doc_id"),

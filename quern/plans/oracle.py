@@ -143,7 +143,7 @@ def should_skip(u: str, doms=SKIP_DOMAINS) -> str:
 
 ARTICLES = f"""
 SELECT doc_id AS seq, doc_id,
-       substring(split_part(text, chr(10), 1), 1, 120) AS title,
+       split_part(text, chr(10), 1) AS title,
        'https://d' || CAST((doc_id // 4) % 2 AS VARCHAR) || '.example.com/a/' || CAST(doc_id // 4 AS VARCHAR) AS final_url,
        text AS article_text, lang AS article_language, source AS state, 'Monsoon' AS disaster_type,
        {quality('text')} AS extraction_quality

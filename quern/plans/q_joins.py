@@ -20,10 +20,10 @@ N_CSV = 8
 def links(spark, sf):
     """pages as CSV link rows: 8 'files'; every 10th link repeated later with a new title."""
     p = A.table(spark, sf, "pages").select("page_id", "url")
-    base = p.select((F.col("page_id") % N_CSV).alias("csv"), F.col("page_id").alias("seq"), F.col("url").alias("Link"),
+    base = p.select((F.col("page_id") % N_CSV).alias("csv"), (F.col("page_id") * 2).alias("seq"), F.col("url").alias("Link"),
                     F.concat(F.lit("t"), F.col("page_id").cast("string")).alias("Title"))
     dup = p.where(F.col("page_id") % 10 == 0).select(
-        (F.col("page_id") % N_CSV).alias("csv"), (F.col("page_id") + 100000).alias("seq"), F.col("url").alias("Link"),
+        (F.col("page_id") % N_CSV).alias("csv"), (F.col("page_id") * 2 + 1).alias("seq"), F.col("url").alias("Link"),
         F.concat(F.lit("again"), F.col("page_id").cast("string")).alias("Title"))
     rows = base.unionByName(dup)
     return rows.select("*", F.concat(F.lit("src"), (F.col("seq") % 5).cast("string")).alias("Source"),
@@ -45,8 +45,8 @@ def finals(spark, sf):
                     u.alias("original_url"), final.alias("final_url"))
 
 
-LINKS_SQL = f"""(SELECT page_id % {N_CSV} AS csv, page_id AS seq, url AS "Link", 't' || CAST(page_id AS VARCHAR) AS "Title" FROM pages
-  UNION ALL SELECT page_id % {N_CSV}, page_id + 100000, url, 'again' || CAST(page_id AS VARCHAR) FROM pages WHERE page_id % 10 = 0)"""
+LINKS_SQL = f"""(SELECT page_id % {N_CSV} AS csv, page_id * 2 AS seq, url AS "Link", 't' || CAST(page_id AS VARCHAR) AS "Title" FROM pages
+  UNION ALL SELECT page_id % {N_CSV}, page_id * 2 + 1, url, 'again' || CAST(page_id AS VARCHAR) FROM pages WHERE page_id % 10 = 0)"""
 FINALS_SQL = f"""(SELECT page_id % {N_CSV} AS csv, page_id AS seq, url AS original_url, CASE page_id % 5
    WHEN 0 THEN url WHEN 1 THEN 'https://news.google.com/rss/articles/X' || CAST(page_id AS VARCHAR)
    WHEN 2 THEN regexp_replace(url, '^(https?://)(?:www\\.)?', '\\1m.')
@@ -116,7 +116,7 @@ def _regions_sql() -> str:
 def _dims_sql() -> str:
     rl = ", ".join(f"({O.lit(r)}, {i}, {O.lit(lang)})" for r, ls in dims.REGION_LANGUAGES.items()
                    for i, lang in enumerate(ls))
-    terms = {"en": dims.ENGLISH_TERMS, **REGION_TERMS}
+    terms = {"en": dims.ENGLISH_TERMS, **dims.REGIONAL_TERMS, **REGION_TERMS}
     tl = ", ".join(f"({O.lit(lang)}, {O.lst(ts)})" for lang, ts in terms.items())
     return (f"rl AS (SELECT * FROM (VALUES {rl}) t(region, lang_ord, lang)), "
             f"tl AS (SELECT * FROM (VALUES {tl}) t(lang, terms)), "
@@ -169,7 +169,7 @@ DOC_TERMS = {"en": ["thing", "thble", "attion", "ing", "the", "of"], "fr": ["tio
 
 
 def _doc_searches_sql() -> str:
-    terms = {"en": dims.ENGLISH_TERMS, **DOC_TERMS}
+    terms = {"en": dims.ENGLISH_TERMS, **dims.REGIONAL_TERMS, **DOC_TERMS}
     tl = ", ".join(f"({O.lit(lang)}, {O.lst(ts)})" for lang, ts in terms.items())
     return (f"tl AS (SELECT * FROM (VALUES {tl}) t(lang, terms)), "
             f"y AS (SELECT DISTINCT d.source AS region, d.lang, coalesce(tl.terms, (SELECT terms FROM tl WHERE lang = 'en')) AS terms "
@@ -186,7 +186,7 @@ def _doc_match_sql() -> str:
 
 @register("saved_search_match", _doc_match_sql(), "E8")
 def saved_search_match(spark, sf):
-    d = A.text_table(spark, sf, "documents").select("doc_id", F.col("source").alias("region"), "lang", "text")
+    d = A.table(spark, sf, "documents").select("doc_id", F.col("source").alias("region"), "lang", "text")
     tf = dims.terms_frame(spark, DOC_TERMS)
     per = J.relevance_by_language(d.select("region", "lang").distinct(), tf, "lang")
     s = J.saved_searches(per)
@@ -200,7 +200,7 @@ def directory(spark, sf):
     s = A.table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = A.table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     langs = F.array(*[F.lit(x) for x in ["English", "Hindi", "Tamil, English", "Bengali"]])
-    return s.join(F.broadcast(n), "s_nationkey").select(
+    return s.join(n, "s_nationkey").select(
         "s_suppkey",
         F.when(F.col("s_suppkey") % 10 == 0, F.lit("National")).otherwise(F.col("n_name")).alias("State/UT"),
         F.col("s_name").alias("Newspaper Name"),

@@ -14,7 +14,7 @@ RUN_DATE = "2024-01-31"
 
 
 def parsed(spark, sf):
-    return P.parse_pages(A.text_table(spark, sf, "pages"), LINK_TERMS)
+    return P.parse_pages(A.table(spark, sf, "pages"), LINK_TERMS)
 
 
 def _text(x: str) -> str:
@@ -46,11 +46,16 @@ def page_fields(spark, sf):
         "page_id", "page_title", "summary", "page_date", "body", "rendered_body", "body_language")
 
 
-@register("page_links", None, "D5/H4/H6")
-def page_links(spark, sf):
+@register("page_links_all", None, "D5/H6")
+def page_links_all(spark, sf):
     return P.page_links(parsed(spark, sf), LINK_TERMS, RUN_DATE)
 
 
+@register("page_links", None, "H4")
+def page_links(spark, sf):
+    return P.first_n(P.page_links(parsed(spark, sf), LINK_TERMS, RUN_DATE), 4)
+
+
 @register("validate_page_article", None, "B11")
 def validate_page_article(spark, sf):
     f = P.page_fields(parsed(spark, sf), RUN_DATE)

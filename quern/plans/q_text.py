@@ -28,7 +28,7 @@ DOC_CONTEXT = ["und"]
 LICENSE_BOILERPLATE = ["apache license", "mit license", "copyright", "all rights reserved"]
 
 def docs(spark, sf):
-    return A.text_table(spark, sf, "documents")
+    return A.table(spark, sf, "documents")
 
 
 # ------------------------------------------------------------------ C11 quality
@@ -55,7 +55,7 @@ def quality_grade_licenses(spark, sf):
 @register("quality_grade_pages",
           "SELECT page_id, " + O.quality("html") + " AS extraction_quality FROM pages", "C11")
 def quality_grade_pages(spark, sf):
-    return A.text_table(spark, sf, "pages").select("page_id", Q.quality_grade("html").alias("extraction_quality"))
+    return A.table(spark, sf, "pages").select("page_id", Q.quality_grade("html").alias("extraction_quality"))
 
 
 # ------------------------------------------------------------------ C12 / C13 / C23
@@ -67,11 +67,11 @@ def content_fingerprint(spark, sf):
 
 
 @register("title_key",
-          "SELECT doc_id, " + O.title_key("substring(split_part(text, chr(10), 1), 1, 120)") + " AS title_key, "
-          "CAST(len(regexp_extract_all(" + O.strip("lower(substring(split_part(text, chr(10), 1), 1, 120))")
+          "SELECT doc_id, " + O.title_key("split_part(text, chr(10), 1)") + " AS title_key, "
+          "CAST(len(regexp_extract_all(" + O.strip("lower(split_part(text, chr(10), 1))")
           + ", '" + T.WORD + "')) AS BIGINT) AS n_words FROM documents", "C13")
 def title_key(spark, sf):
-    title = T.clip(T.first_line("text"), 120)
+    title = T.first_line("text")
     return docs(spark, sf).select("doc_id", T.title_key(title).alias("title_key"),
                                   F.size(T.title_words(title)).cast("bigint").alias("n_words"))
 
@@ -85,20 +85,21 @@ def clip_text(spark, sf):
 
 # ------------------------------------------------------------------ C9 / C10
 
-LANG_SRC = ("SELECT doc_id AS id, text FROM documents UNION ALL "
-            "SELECT 1000000000 + conv_id * 1000 + turn AS id, text FROM conversations")
+LANG_SRC = ("SELECT 'document' AS kind, doc_id AS id, NULL AS turn, text FROM documents UNION ALL "
+            "SELECT 'conversation' AS kind, conv_id AS id, turn, text FROM conversations")
 
 
 @register("script_language",
-          f"SELECT id, {O.lang_first('text')} AS lang_first, {O.lang_dominant('text')} AS lang_dominant, "
+          f"SELECT kind, id, turn, {O.lang_first('text')} AS lang_first, {O.lang_dominant('text')} AS lang_dominant, "
           f"CAST(length(regexp_replace(coalesce(text, ''), {O.lit(L.LATINISH)}, '', 'g')) AS BIGINT) AS non_latin "
           f"FROM ({LANG_SRC})", "C9/C10")
 def script_language(spark, sf):
-    d = docs(spark, sf).select(F.col("doc_id").alias("id"), "text")
-    c = A.table(spark, sf, "conversations").select(
-        (F.lit(1000000000) + F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
+    c = A.table(spark, sf, "conversations")
+    c = c.select(F.lit("conversation").alias("kind"), F.col("conv_id").alias("id"), "turn", "text")
+    d = docs(spark, sf).select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"),
+                               F.lit(None).cast(c.schema["turn"].dataType).alias("turn"), "text")
     u = materialize(d.unionByName(c), _res=L.indic_residue("text"), _nl=L.non_latin_count("text"))
-    return u.select("id", L.script_language_first("text", "_res").alias("lang_first"),
+    return u.select("kind", "id", "turn", L.script_language_first("text", "_res").alias("lang_first"),
                     L.script_language_dominant("text", "_res", "_nl").alias("lang_dominant"),
                     F.col("_nl").cast("bigint").alias("non_latin"))
 
@@ -261,11 +262,10 @@ def regions_ranked(spark, sf):
 
 
 @register("union_entries",
-          "SELECT seq, kind, doc_id FROM (SELECT doc_id AS seq, 'feed' AS kind, doc_id FROM documents "
-          "WHERE lang = 'en' UNION ALL SELECT 1000000000 + doc_id AS seq, 'newspaper' AS kind, doc_id FROM documents "
-          "WHERE lang <> 'en')", "H5")
+          "SELECT 0 AS part, doc_id AS seq, 'feed' AS kind, doc_id FROM documents WHERE lang = 'en' "
+          "UNION ALL SELECT 1, doc_id, 'newspaper', doc_id FROM documents WHERE lang <> 'en'", "H5")
 def union_entries(spark, sf):
     d = A.table(spark, sf, "documents").select("doc_id", "lang")
     feed = d.where(F.col("lang") == "en").select(F.col("doc_id").alias("seq"), F.lit("feed").alias("kind"), "doc_id")
     news = d.where(F.col("lang") != "en").select(F.col("doc_id").alias("seq"), F.lit("newspaper").alias("kind"), "doc_id")
-    return J.union_entries(feed, news, offset=1000000000)
+    return J.union_entries(feed, news)
