@@ -43,11 +43,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set (a shared file system / object store);
-    only when it is unset — local mode, tests — a fresh scratch folder is
-    made and registered.
+    only when it is unset on a ``local[..]`` master (tests) a fresh scratch
+    folder is made and registered; any other master without it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quern-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -64,7 +66,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -76,11 +78,11 @@ def ship_package(spark: SparkSession) -> None:
     as in local mode.
     """
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     import shutil
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out = tempfile.mkdtemp(prefix="quern-pyfiles-")
     zpath = shutil.make_archive(os.path.join(out, "quern"), "zip", os.path.dirname(pkg_dir), "quern")
     sc.addPyFile(zpath)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
