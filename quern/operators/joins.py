@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.dims import languages as dims
+from quern.functions import lang as L
+from quern.functions import quality as Q
 from quern.functions import url as U
 from quern.functions.text import py_strip
 from quern.operators.common import materialize
@@ -198,7 +200,9 @@ def link_final_to_original(finals: DataFrame, links: DataFrame, group: str = "cs
     lk = links.select(F.col(group), F.col(link_seq).alias("_ls"), py_strip(F.col("Link")).alias("cand"))
     first = lk.groupBy(group, "cand").agg(F.min("_ls").alias("ord"))
     first = first.select("*", *_url_parts("cand", "c_"))
-    fin = finals.select(F.col(group), F.col(seq).alias("_fs"), "original_url", "final_url")
+    # A final is named by its CSV and its place there: ``seq`` may restart in each CSV.
+    fin = finals.select(F.col(group), F.struct(F.col(group).alias("g"), F.col(seq).alias("s")).alias("_fs"),
+                        "original_url", "final_url")
     fin = fin.select("*", *_url_parts("final_url", "f_"), *[
         c.alias("o_" + n) for c, n in zip([U.extract_domain(F.col("original_url"))], ["domain"])])
     fin = fin.withColumn("o_main", U.extract_main_domain(F.col("o_domain")))
@@ -280,7 +284,7 @@ def link_final_to_original(finals: DataFrame, links: DataFrame, group: str = "cs
             .when(F.col("t3").isNotNull(), 3).when(F.col("t4").isNotNull(), 4)
             .when(F.col("t5").isNotNull(), 5).otherwise(F.lit(0)))
     matched = F.coalesce(F.when(~empty_final, F.coalesce("t1", "t2", "t3", "t4", "t5")), F.col("original_url"))
-    return res.select(F.col(group), F.col("_fs").alias(seq), "original_url", "final_url",
+    return res.select(F.col(group), F.col("_fs.s").alias(seq), "original_url", "final_url",
                       matched.alias("matched_link"), tier.alias("match_tier"))
 
 
@@ -302,3 +306,26 @@ def enrich_metadata(matched: DataFrame, links: DataFrame, group: str = "csv",
     # the title of the link row, else the one found in the page
     return out.withColumn("title", F.when(F.col("other_info.csv_title") != "", F.col("other_info.csv_title"))
                           .otherwise(F.coalesce(F.col(extracted_title), F.lit(""))))
+
+
+def build_articles(fields: DataFrame, links: DataFrame, extraction_timestamp: str, group: str = "csv", seq: str = "seq",
+                   link_seq: str = "seq") -> DataFrame:
+    """Extracted pages ⋈ the link rows of their CSV → Article rows (§1).
+
+    ``fields``: (group, seq, original_url, final_url, page_title,
+    article_text, state, disaster_type).  The page is matched to a link
+    (E1), takes that link's row (E2), and its id is the md5 of the
+    normalised final URL and the page's own title.
+    """
+    matched = link_final_to_original(fields, links, group, seq, link_seq)
+    rows = enrich_metadata(matched, links, group, link_seq)
+    own = fields.select(F.col(group), F.col(seq), "page_title", "article_text", "state", "disaster_type")
+    j = rows.join(own, [group, seq])
+    normalized = U.normalize_url(F.col("final_url"))
+    return j.select(
+        F.col(group), F.col(seq), U.article_id(normalized, F.col("page_title")).alias("id"),
+        F.coalesce(F.nullif(F.col("other_info.csv_title"), F.lit("")), F.col("page_title"), F.lit("")).alias("title"),
+        "final_url", F.col("matched_link").alias("original_url"), normalized.alias("normalized_url"), "article_text",
+        L.script_language_dominant(F.coalesce("article_text", F.lit(""))).alias("article_language"), "other_info",
+        "state", "disaster_type", F.lit(extraction_timestamp).alias("extraction_timestamp"),
+        Q.quality_grade("article_text").alias("extraction_quality"))

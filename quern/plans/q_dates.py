@@ -187,3 +187,20 @@ def rejection_funnel(spark, sf):
 def dates_present(spark, sf):
     d = B.strict_date_filter(links(spark, sf), START, END).where(F.col("article_date").isNotNull())
     return G.dates_present(d, "article_date")
+
+
+# Phrases of relative dates, dealt to the orders by their key.
+RELATIVE = ["today, updated 1 hour ago", "Posted Yesterday ago", "2 days ago", "1 day ago", "0 day ago", "21 days ago", "3 weeks ago", "today"]
+
+
+@register("parse_relative_date",
+          f"""SELECT o_orderkey, CASE WHEN position('ago' IN p) = 0 THEN NULL
+                WHEN contains(p, 'today') OR contains(p, '0 day') THEN CAST(o_orderdate AS DATE)
+                WHEN contains(p, 'yesterday') OR contains(p, '1 day') THEN CAST(o_orderdate AS DATE) - 1
+                WHEN contains(p, '2 day') THEN CAST(o_orderdate AS DATE) - 2 END AS day
+              FROM (SELECT o_orderkey, o_orderdate, lower([{', '.join(O.lit(x) for x in RELATIVE)}][CAST(o_orderkey % 8 AS INTEGER) + 1]) AS p
+                    FROM orders)""", "C8")
+def parse_relative_date(spark, sf):
+    o = A.table(spark, sf, "orders")
+    text = F.try_element_at(F.array(*[F.lit(x) for x in RELATIVE]), (F.col("o_orderkey") % 8).cast("int") + 1)
+    return o.select("o_orderkey", Dt.parse_relative_date(text, F.to_date("o_orderdate")).alias("day"))

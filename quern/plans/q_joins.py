@@ -93,6 +93,29 @@ def enrich_metadata(spark, sf):
     return e.select("seq", "matched_link", F.col("other_info.csv_title").alias("csv_title"))
 
 
+@register("build_articles",
+          f"""WITH m AS ({LINKAGE_SQL}), l AS {LINKS_SQL},
+              last AS (SELECT csv, "Link" AS matched_link, arg_max("Title", seq) AS csv_title FROM l GROUP BY 1, 2),
+              x AS (SELECT m.csv, m.seq, m.final_url, m.matched_link AS original_url, {O.normalize_url('m.final_url')} AS normalized_url,
+                      CASE WHEN p.page_id % 2 = 0 THEN 'own ' || CAST(p.page_id AS VARCHAR) ELSE '' END AS page_title,
+                      coalesce(last.csv_title, '') AS csv_title, p.html
+                    FROM m JOIN pages p ON p.page_id = m.seq
+                    LEFT JOIN last ON m.csv = last.csv AND m.matched_link = last.matched_link)
+              SELECT csv, seq, md5(normalized_url || page_title) AS id,
+                     CASE WHEN csv_title <> '' THEN csv_title ELSE page_title END AS title, csv_title, final_url, original_url,
+                     normalized_url, {O.lang_dominant('html')} AS article_language, {O.quality('html')} AS extraction_quality
+              FROM x""", "article assembly/E1/E2/C14")
+def build_articles(spark, sf):
+    text = A.table(spark, sf, "pages").select(
+        F.col("page_id").alias("seq"), F.col("html").alias("article_text"), F.lit("assam").alias("state"),
+        F.lit(A.DISASTER).alias("disaster_type"),
+        F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("own "), F.col("page_id").cast("string"))).otherwise("").alias("page_title"))
+    fields = finals(spark, sf).join(text, "seq")
+    out = J.build_articles(fields, links(spark, sf), "2026-08-08 05:00:00")
+    return out.select("csv", "seq", "id", "title", F.col("other_info.csv_title").alias("csv_title"), "final_url", "original_url",
+                      "normalized_url", "article_language", "extraction_quality")
+
+
 # ------------------------------------------------------------------ E3 / E8 (nations mapped onto regions)
 
 ALL_REGIONS = dims.STATES + dims.UNION_TERRITORIES
@@ -137,17 +160,22 @@ def region_language_terms(spark, sf):
                                         F.col("term_ord").cast("int"), "term")
 
 
-def _searches_sql(select: str) -> str:
-    """SQL form of the saved-search table (small mode) over y."""
+def _searches_sql(select: str, full: bool = False) -> str:
+    """SQL form of the saved-search table over y, small (three searches) or full."""
+    more = """
+         || (CASE WHEN n >= 10 THEN [{'query': '(' || terms[9] || ' OR ' || terms[10] || ') ' || region, 'phrases': [terms[9], terms[10]]}] ELSE [] END)
+         || (CASE WHEN n >= 8 THEN [{'query': '(' || terms[1] || ' OR ' || terms[4] || ' OR ' || terms[8] || ') ' || region,
+                                    'phrases': [terms[1], terms[4], terms[8]]}] ELSE [] END)""" if full else ""
+    cut = "" if full else "[1:3]"
     q = f"""s0 AS (
   SELECT region, lang, terms, len(terms) AS n FROM y),
 s1 AS (
   SELECT region, lang, list_transform(list_filter(terms[1:3], lambda t: {O.strip('t')} <> ''),
            lambda t: {{'query': '"' || t || '" ' || region, 'phrases': [t]}})
          || (CASE WHEN n >= 3 THEN [{{'query': '(' || terms[1] || ' OR ' || terms[2] || ') ' || region, 'phrases': [terms[1], terms[2]]}}] ELSE [] END)
-         || (CASE WHEN n >= 6 THEN [{{'query': '(' || terms[4] || ' OR ' || terms[5] || ') ' || region, 'phrases': [terms[4], terms[5]]}}] ELSE [] END) AS qs
+         || (CASE WHEN n >= 6 THEN [{{'query': '(' || terms[4] || ' OR ' || terms[5] || ') ' || region, 'phrases': [terms[4], terms[5]]}}] ELSE [] END){more} AS qs
   FROM s0),
-s2 AS (SELECT region, lang, CAST(generate_subscripts(qs[1:3], 1) - 1 AS INTEGER) AS query_ord, unnest(qs[1:3]) AS s FROM s1),
+s2 AS (SELECT region, lang, CAST(generate_subscripts(qs{cut}, 1) - 1 AS INTEGER) AS query_ord, unnest(qs{cut}) AS s FROM s1),
 srch AS (SELECT region, lang, query_ord, s.query AS query, s.phrases AS phrases FROM s2
          WHERE length(s.query) - length(replace(s.query, 'OR', '')) <= 8 AND length(s.query) <= 200)"""
     return f"WITH {_dims_sql()}, {q} {select}"
@@ -164,6 +192,17 @@ def saved_searches(spark, sf):
     return J.saved_searches(arrays).select("region", "lang", F.col("query_ord").cast("int"), "query").distinct()
 
 
+@register("saved_searches_full",
+          _searches_sql("SELECT DISTINCT region, lang, query_ord, query FROM srch", full=True), "E8/B13 (full mode)")
+def saved_searches_full(spark, sf):
+    r = nation_regions(spark, sf)
+    rt = J.region_language_terms(r, dims.terms_frame(spark, REGION_TERMS), "region")
+    arrays = (rt.groupBy("region", "lang_ord", "lang")
+              .agg(F.array_sort(F.collect_list(F.struct("term_ord", "term"))).alias("t"))
+              .select("region", "lang", F.transform("t", lambda s: s["term"]).alias("terms")))
+    return J.saved_searches(arrays, ci=True).select("region", "lang", F.col("query_ord").cast("int"), "query").distinct()
+
+
 # E8 match: documents play the regions through their source column.
 DOC_TERMS = {"en": ["thing", "thble", "attion", "ing", "the", "of"], "fr": ["tion", "ment"], "de": ["ung", "sch", "ein"]}
 
@@ -194,6 +233,17 @@ def saved_search_match(spark, sf):
     return m.select("doc_id", F.col("query_ord").cast("int"), "query")
 
 
+@register("saved_search_mention",
+          _doc_match_sql() + " AND contains(lower(d.text), lower(substring(d.lang, 1, 1) || 'n'))", "E8 (region in the text)")
+def saved_search_mention(spark, sf):
+    """As ``saved_search_match``, and the region's words (here two letters by language) stand in the text."""
+    d = A.table(spark, sf, "documents").select("doc_id", F.col("source").alias("region"), "lang", "text",
+                                               F.concat(F.substring("lang", 1, 1), F.lit("n")).alias("region_words"))
+    per = J.relevance_by_language(d.select("region", "lang").distinct(), dims.terms_frame(spark, DOC_TERMS), "lang")
+    m = J.saved_search_match(d, J.saved_searches(per), mention="region_words")
+    return m.select("doc_id", F.col("query_ord").cast("int"), "query")
+
+
 # ------------------------------------------------------------------ E4 (suppliers as the newspaper directory)
 
 def directory(spark, sf):

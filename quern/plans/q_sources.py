@@ -17,7 +17,7 @@ from quern.operators import dedup as D
 from quern.operators import filters as B
 from quern.plans import adapters as A
 from quern.plans.catalog import register
-from quern.plans.q_dates import END, KEPT_SQL, START
+from quern.plans.q_dates import END, KEPT_SQL, LINKS_SQL, START
 from quern.plans.q_text import _final_sql
 from quern.session import checkpoint_dir
 from quern.sources import io
@@ -75,3 +75,67 @@ def run_stats_roundtrip(spark, sf):
         io.write_run_stats(G_stats, os.path.join(root, day))
     latest = io.latest_run_stats(io.read_run_stats(spark, os.path.join(root, "*")).drop("file"))
     return G.flatten_run_stats(latest)
+
+
+# ------------------------------------------------------------------ further round trips
+
+@register("articles_two_days",
+          _final_sql("SELECT day AS extraction_date, extraction_quality, count(*) AS n FROM f, "
+                     "(VALUES ('2026-08-07'), ('2026-08-08')) t(day) GROUP BY 1, 2"), "A4 (two days)")
+def articles_two_days(spark, sf):
+    final = D.smart_dedup(A.articles(spark, sf), "best")
+    root = _scratch(spark, "two-days")
+    for day in ("2026-08-07", "2026-08-08"):
+        io.write_articles(final.drop("seq", "doc_id"), root, day)
+    back = io.read_articles(spark, root)
+    return back.groupBy(F.col("extraction_date").cast("string"), "extraction_quality").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("write_links_range",
+          f"""SELECT link AS "Link", DATE '2000-12-31' AS run_date, arg_min(title, seq) AS "Title" FROM {KEPT_SQL}
+              WHERE TRY_CAST(substring(ist_date, 1, 10) AS DATE) BETWEEN DATE '2000-12-01' AND DATE '2000-12-31' GROUP BY link""", "A3")
+def write_links_range(spark, sf):
+    """The range is written twice; the second write clears the first."""
+    d = B.strict_date_filter(A.dated_links(spark, sf), START, END).where(F.col("article_date").isNotNull())
+    rows = d.select("seq", F.col("title").alias("Title"), F.col("link").alias("Link"), F.col("ist_date").alias("Date"),
+                    F.lit("").alias("Source"), F.col("summary").alias("Summary"), F.lit("Monsoon").alias("Term"),
+                    F.lit("en").alias("LanguageQueried"), F.lit("states").alias("region_type"), F.lit("assam").alias("region"),
+                    F.lit("Monsoon").alias("disaster_type"))
+    root = _scratch(spark, "range")
+    for _ in range(2):
+        io.replace_links(rows, root, "2000-12-01", "2000-12-31")
+    return io.read_links_hive(spark, root).select("Link", "run_date", "Title")
+
+
+@register("feed_roundtrip",
+          f"SELECT title, link, published, CASE WHEN seq % 3 = 0 THEN '' ELSE summary END AS summary, "
+          f"CASE WHEN seq % 2 = 0 THEN 'desk' ELSE '' END AS source_title FROM {LINKS_SQL}", "A9")
+def feed_roundtrip(spark, sf):
+    d = A.dated_links(spark, sf)
+    path = _scratch(spark, "feed")
+    (d.select("title", "link", "published", F.when(F.col("seq") % 3 != 0, F.col("summary")).alias("summary"),
+              F.when(F.col("seq") % 2 == 0, F.struct(F.lit("desk").alias("title"))).alias("source"))
+     .write.json(path))
+    return io.read_feed(spark, path)
+
+
+@register("directory_roundtrip",
+          "SELECT n_name AS state, s_name AS newspaper FROM supplier JOIN nation ON s_nationkey = n_nationkey", "A6")
+def directory_roundtrip(spark, sf):
+    n = A.table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    d = A.table(spark, sf, "supplier").join(n, "s_nationkey").select(
+        F.col("n_name").alias("State/UT"), F.col("s_name").alias("Newspaper Name"),
+        F.lit("https://x, \"y\"").alias("Website"), F.lit("English").alias("Language(s)"))
+    path = _scratch(spark, "directory")
+    d.write.option("header", True).option("escape", '"').csv(path)
+    back = io.read_source_directory(spark, path)
+    return back.select(F.col("State/UT").alias("state"), F.col("Newspaper Name").alias("newspaper"))
+
+
+@register("region_selection",
+          f"""SELECT seq FROM {LINKS_SQL} WHERE {'[' + ', '.join(repr(r) for r in REGIONS) + ']'}[CAST(seq % {len(REGIONS)} AS INTEGER) + 1] = 'assam'""",
+          "B10")
+def region_selection(spark, sf):
+    arr = F.array(*[F.lit(r) for r in REGIONS])
+    d = A.dated_links(spark, sf).select("seq", F.try_element_at(arr, (F.col("seq") % len(REGIONS)).cast("int") + 1).alias("region"))
+    return B.region_selection(d, "assam").select("seq")
