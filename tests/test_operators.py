@@ -98,3 +98,57 @@ def test_region_selection(spark):
     assert [r.region for r in region_selection(df, "delhi").collect()] == ["delhi"]
     with pytest.raises(ValueError):
         region_selection(df, "atlantis")
+
+
+def test_linkage_key_is_csv_and_place(spark):
+    """``seq`` restarts in each CSV; rows of different CSVs never mix."""
+    from quern.operators.joins import enrich_metadata, link_final_to_original
+    links = spark.createDataFrame([("a", 1, "https://x.com/p", "ta"), ("b", 1, "https://x.com/p", "tb"), ("b", 2, "https://y.com/q", "tq")],
+                                  "csv string, seq int, Link string, Title string")
+    links = links.selectExpr("*", "'' AS Source", "'' AS Summary", "'' AS Date", "'' AS Term", "'' AS LanguageQueried")
+    finals = spark.createDataFrame([("a", 1, "https://o.com/1", "https://x.com/p"), ("b", 1, "https://o.com/2", "https://y.com/q/more"),
+                                    ("b", 2, "https://o.com/3", "https://z.net/")], "csv string, seq int, original_url string, final_url string")
+    m = link_final_to_original(finals, links, "csv")
+    got = {(r.csv, r.seq): (r.matched_link, r.match_tier) for r in m.collect()}
+    assert got == {("a", 1): ("https://x.com/p", 1), ("b", 1): ("https://y.com/q", 3), ("b", 2): ("https://o.com/3", 0)}
+    titles = {(r.csv, r.seq): r.title for r in enrich_metadata(
+        m.selectExpr("*", "'own' AS page_title"), links, "csv", extracted_title="page_title").collect()}
+    assert titles == {("a", 1): "ta", ("b", 1): "tq", ("b", 2): "own"}
+
+
+def test_linkage_with_a_common_path_segment(spark):
+    """A host whose links all share a segment: every final still finds its best link."""
+    from quern.operators.joins import link_final_to_original
+    n = 60
+    links = spark.createDataFrame([("c", i, f"https://h.com/news/a{i}/b{i}") for i in range(n)], "csv string, seq int, Link string")
+    finals = spark.createDataFrame([("c", i, "https://o.org/x", f"https://h.com/news/a{i}/other") for i in range(n)],
+                                   "csv string, seq int, original_url string, final_url string")
+    got = {r.seq: (r.matched_link, r.match_tier) for r in link_final_to_original(finals, links, "csv").collect()}
+    assert got == {i: (f"https://h.com/news/a{i}/b{i}", 3) for i in range(n)}
+
+
+def test_regional_terms_match_their_scripts(spark):
+    from quern.dims import languages as dims
+    from quern.functions.relevance import term_hits
+    from quern.operators.joins import relevance_by_language
+    rows = [("hi", "कल भारी बारिश और बाढ़"), ("ta", "நேற்று கனமழை வெள்ளம்"), ("bn", "আজ বন্যা ও ঘূর্ণিঝড়"), ("xx", "A Flood and storm")]
+    df = relevance_by_language(spark.createDataFrame(rows, "lang string, text string"), dims.terms_frame(spark))
+    got = {r.lang: r.hits for r in df.select("lang", term_hits("text", df["terms"]).alias("hits")).collect()}
+    assert got == {"hi": ["भारी बारिश", "बाढ़"], "ta": ["கனமழை", "வெள்ளம்"], "bn": ["বন্যা", "ঘূর্ণিঝড়", "ঝড়"], "xx": ["flood", "storm"]}
+
+
+def test_banned_patterns_follow_the_streak(spark):
+    """All attempts failed and the run of failures at the end is three or more."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from quern.operators.requests import banned_patterns
+    t0 = dt.datetime(2024, 1, 1)
+    log, n = [], 0
+    for key, searches in {1: [[1, 0], [0, 0], [0, 0]], 2: [[0, 0]], 3: [[0], [0, 0]], 4: [[0, 0], [0]]}.items():
+        for s, tries in enumerate(searches):
+            for ok in tries:
+                log.append((n, t0 + dt.timedelta(minutes=n), key, s, bool(ok)))
+                n += 1
+    df = spark.createDataFrame(log, "event_id long, ts timestamp, key long, search_id long, success boolean")
+    got = {(r.key, r.search_id) for r in banned_patterns(df, F.lit("en"), attempts=2).collect()}
+    assert got == {(1, 1), (1, 2), (3, 1)}
