@@ -21,7 +21,7 @@ HEADLINE = [
     "language_distribution", "run_stats",
     "request_stats", "failure_streak", "rolling_failure_rate", "banned_patterns", "coverage_gaps",
     "page_fields", "page_links", "link_final_to_original", "enrich_metadata",
-    "similar_contents_jaccard", "saved_search_match", "sources_for_region",
+    "similar_titles", "similar_contents", "similar_contents_jaccard", "build_articles", "saved_search_match", "sources_for_region",
 ]
 
 
