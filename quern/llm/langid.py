@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from quern.llm.common import map_arrow, pieces_of
 
 UNKNOWN = "und"
-#: The labelled sample the model is fitted on: whole texts of each language.
-DOCS_PER_LANG = 80
+#: The labelled sample the model is fitted on: so many whole texts of each
+#: language, of at most so many characters each.
+DOCS_PER_LANG, SAMPLE_CHARS = 80, 40_000
 #: Frequent words of each language in the lexicon.
 LEXICON_WORDS = 4000
 GRAM_BITS, LEXICON_BITS = 17, 16
@@ -246,9 +247,11 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
 def sample(df: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> list[tuple[str, str]]:
     """Up to ``docs_per_lang`` whole labelled texts of each language, by the order of a hash.
 
-    ``df`` has the columns doc_id, text, lang; rows without any of them are left out.
+    ``df`` has the columns doc_id, text, lang; rows without any of them are
+    left out, and so are texts above ``SAMPLE_CHARS``.
     """
-    d = df.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").withColumn("_h", F.xxhash64("doc_id", "text"))
+    d = df.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").filter(F.length("text") <= SAMPLE_CHARS)
+    d = d.withColumn("_h", F.xxhash64("doc_id", "text"))
     n = {r["lang"]: r["count"] for r in d.groupBy("lang").count().collect()}  # one row a language
     if not n:
         return []
@@ -283,7 +286,7 @@ def _step(model_b, runs: bool):
 
         def step(b: pa.RecordBatch):
             texts = [t or "" for t in b.column("text").to_pylist()]
-            for lo, hi in pieces_of(np.array([len(t) + 1 for t in texts]), 2_000_000):
+            for lo, hi in pieces_of(np.array([len(t) + 1 for t in texts]), 800_000):
                 f = features(texts[lo:hi])
                 lang, score = [UNKNOWN] * (hi - lo), np.zeros(hi - lo)
                 spans: list = [[] for _ in range(hi - lo)]
