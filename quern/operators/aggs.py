@@ -18,6 +18,11 @@ def pct(num, den, digits: int = 2) -> F.Column:
     return F.bround(_c(num).cast("double") / _c(den) * 100, digits)
 
 
+#: The block of the run statistics that the dedup report reads.
+DEDUPLICATION = ("struct<original_count:bigint,final_count:bigint,removal_percentage:double,url_duplicates_removed:bigint,"
+                 "title_duplicates_removed:bigint,content_duplicates_removed:bigint>")
+
+
 def dedup_funnel(chain: DataFrame) -> DataFrame:
     """F8 — original, final, removed per stage and removal % from the
     output of ``dedup_chain`` (its per-survivor counts), one pass."""
@@ -71,41 +76,40 @@ def quality_breakdown(df: DataFrame, col: str = "extraction_quality") -> DataFra
                       for q in ("high", "medium", "low")])
 
 
-def _count_map(df: DataFrame, col: str, null_as: str = "unknown") -> DataFrame:
-    """One row: map value → count.  The map holds one entry per distinct
-    value of a dimension column (regions, languages, hazards)."""
-    g = (df.select(F.coalesce(F.col(col), F.lit(null_as)).alias("k"))
-         .groupBy("k").agg(F.count(F.lit(1)).alias("n")))
-    return g.agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias(col))
-
-
 def run_stats(df: DataFrame, extraction_date: str, extraction_timestamp: str,
               lang: str = "article_language", quality: str = "extraction_quality",
-              region: str = "state", disaster: str = "disaster_type") -> DataFrame:
+              region: str = "state", disaster: str = "disaster_type", funnel: DataFrame | None = None) -> DataFrame:
     """F6 — the nested one-row run statistics document.
 
-    Each piece is a global aggregate (partial + final); the four one-row
-    results are glued with constant-key broadcast joins.
+    The articles are counted once by their four dimensions (combined in the
+    map tasks); totals and maps are made from those few counts.  ``funnel``
+    (the one row of :func:`dedup_funnel`) fills the ``deduplication`` block.
     """
-    totals = df.agg(F.count(F.lit(1)).alias("total_articles"),
-                    *[F.count_if(F.col(quality) == q).alias(q) for q in ("high", "medium", "low")])
-    lg = (df.select(F.coalesce(F.col(lang), F.lit("unknown")).alias("k"))
-          .groupBy("k").agg(F.count(F.lit(1)).alias("count")))
-    lang_map = with_total(lg, lg.agg(F.sum("count").alias("_t"))).agg(
-        F.map_from_entries(F.collect_list(F.struct(
-            "k", F.struct(F.col("count"), pct("count", "_t").alias("percentage"))))).alias("language_distribution"))
-    out = with_total(totals, lang_map)
-    out = with_total(out, _count_map(df, region).withColumnRenamed(region, "region_breakdown"))
-    out = with_total(out, _count_map(df, disaster).withColumnRenamed(disaster, "disaster_breakdown"))
-    empty = F.create_map().cast("map<string,struct<count:bigint,percentage:double>>")
-    return out.select(
+    cells = df.groupBy(*[F.col(c).alias(d) for d, c in
+                         (("lang", lang), ("region", region), ("disaster", disaster), ("quality", quality))]) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    dims = F.array(*[F.struct(F.lit(d).alias("d"), F.coalesce(F.col(d), F.lit("unknown")).alias("k"))
+                     for d in ("lang", "region", "disaster", "quality")])
+    per = cells.select("n", F.explode(dims).alias("e")).groupBy("e.d", "e.k").agg(F.sum("n").alias("n"))
+    # one entry per distinct value of a dimension column (regions, languages, hazards)
+    m = per.agg(*[F.map_from_entries(F.collect_list(F.when(F.col("d") == d, F.struct("k", "n")))).alias(d)
+                  for d in ("lang", "region", "disaster", "quality")],
+                F.coalesce(F.sum(F.when(F.col("d") == "quality", F.col("n"))), F.lit(0)).alias("total"))
+    grade = lambda q: F.coalesce(F.try_element_at("quality", F.lit(q)), F.lit(0)).cast("bigint").alias(q)
+    dedup = F.lit(None).cast(DEDUPLICATION) if funnel is None else funnel.select(F.struct(
+        F.col("original").alias("original_count"), F.col("final").alias("final_count"),
+        F.col("removal_pct").alias("removal_percentage"), F.col("removed_url").alias("url_duplicates_removed"),
+        F.col("removed_title").alias("title_duplicates_removed"),
+        F.col("removed_content").alias("content_duplicates_removed")).cast(DEDUPLICATION)).scalar()
+    return m.select(
         F.lit(extraction_date).alias("extraction_date"),
-        F.col("total_articles"),
-        F.struct(F.col("total_articles"),
-                 F.coalesce(F.col("language_distribution"), empty).alias("language_distribution")).alias("language_stats"),
-        F.struct("high", "medium", "low").alias("quality_breakdown"),
-        F.coalesce(F.col("region_breakdown"), F.create_map().cast("map<string,bigint>")).alias("region_breakdown"),
-        F.coalesce(F.col("disaster_breakdown"), F.create_map().cast("map<string,bigint>")).alias("disaster_breakdown"),
+        F.col("total").alias("total_articles"),
+        F.struct(F.col("total").alias("total_articles"),
+                 F.transform_values("lang", lambda k, n: F.struct(n.alias("count"), pct(n, F.col("total")).alias("percentage")))
+                 .alias("language_distribution")).alias("language_stats"),
+        F.struct(grade("high"), grade("medium"), grade("low")).alias("quality_breakdown"),
+        F.col("region").alias("region_breakdown"), F.col("disaster").alias("disaster_breakdown"),
+        dedup.alias("deduplication"),
         F.lit(extraction_timestamp).alias("extraction_timestamp"),
     )
 

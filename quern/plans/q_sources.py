@@ -17,6 +17,7 @@ from quern.operators import dedup as D
 from quern.operators import filters as B
 from quern.plans import adapters as A
 from quern.plans.catalog import register
+from quern.plans.q_dedup import FUNNEL_SQL
 from quern.plans.q_dates import END, KEPT_SQL, LINKS_SQL, START
 from quern.plans.q_text import _final_sql
 from quern.session import checkpoint_dir
@@ -139,3 +140,16 @@ def region_selection(spark, sf):
     arr = F.array(*[F.lit(r) for r in REGIONS])
     d = A.dated_links(spark, sf).select("seq", F.try_element_at(arr, (F.col("seq") % len(REGIONS)).cast("int") + 1).alias("region"))
     return B.region_selection(d, "assam").select("seq")
+
+
+@register("run_stats_deduplication",
+          f"SELECT original AS original_count, final AS final_count, removal_pct AS removal_percentage, "
+          f"removed_url AS url_duplicates_removed, removed_title AS title_duplicates_removed, "
+          f"removed_content AS content_duplicates_removed FROM ({FUNNEL_SQL})", "F6/F8 (deduplication block)")
+def run_stats_deduplication(spark, sf):
+    """The block as a later reader finds it in the written statistics."""
+    a = A.articles(spark, sf)
+    funnel = G.dedup_funnel(D.dedup_chain(D.dedup_keys(a), "best"))
+    root = _scratch(spark, "stats-dedup")
+    io.write_run_stats(G.run_stats(D.smart_dedup(a, "best"), "2026-08-08", "2026-08-08 05:00:00", funnel=funnel), root)
+    return io.latest_run_stats(io.read_run_stats(spark, root).drop("file")).select("deduplication.*")

@@ -40,6 +40,10 @@ STATS_SCHEMA = T.StructType([
     T.StructField("quality_breakdown", T.StructType([T.StructField(q, T.LongType()) for q in ("high", "medium", "low")])),
     T.StructField("region_breakdown", T.MapType(T.StringType(), T.LongType())),
     T.StructField("disaster_breakdown", T.MapType(T.StringType(), T.LongType())),
+    T.StructField("deduplication", T.StructType([
+        T.StructField("original_count", T.LongType()), T.StructField("final_count", T.LongType()),
+        T.StructField("removal_percentage", T.DoubleType()), T.StructField("url_duplicates_removed", T.LongType()),
+        T.StructField("title_duplicates_removed", T.LongType()), T.StructField("content_duplicates_removed", T.LongType())])),
     T.StructField("extraction_timestamp", T.StringType()),
 ])
 DIRECTORY_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
