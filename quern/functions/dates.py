@@ -93,10 +93,13 @@ def gmt_to_ist(published) -> Column:
     """C6 — RFC-822 'Www, dd Mon yyyy HH:MM:SS GMT' → IST 'yyyy-MM-dd HH:mm:ss';
     anything unparseable is returned unchanged."""
     p = _c(published)
-    m = F.regexp_extract(p, rf"^{_A}, ({_D} {_BB} {_Y} {_H}:{_MI}:{_S}) (?:GMT|UTC)$", 1)
-    ts = F.try_to_timestamp(m, F.lit("d MMM yyyy H:m:s"))
-    ist = ts + F.expr("INTERVAL 330 MINUTES")
-    return F.when((m != "") & ts.isNotNull(), F.date_format(ist, "yyyy-MM-dd HH:mm:ss")).otherwise(p)
+    rx = rf"^{_A}, ({_D}) ({_BB}) ({_Y}) ({_H}:{_MI}:{_S}) (?:GMT|UTC)$"
+    day, name, year, time = (F.regexp_extract(p, rx, i) for i in (1, 2, 3, 4))
+    month = F.floor(F.instr(F.lit("".join(m[:3] for m in _MONTHS)), F.lower(name)) / 3).cast("int") + 1
+    # wall-clock arithmetic without a zone: a session zone with clock changes moves nothing
+    ts = F.concat(year, F.lit("-"), month.cast("string"), F.lit("-"), F.trim(day), F.lit(" "), time).try_cast("timestamp_ntz")
+    ist = (ts + F.expr("INTERVAL 330 MINUTES")).cast("string")
+    return F.when(year != "", F.coalesce(ist, p)).otherwise(p)
 
 
 def parse_ist(s) -> Column:

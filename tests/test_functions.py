@@ -115,3 +115,17 @@ def test_error_classes(spark):
     assert one(spark, E.classify_error(F.col("x")), "weird") == "unknown_error"
     assert one(spark, E.is_fatal_error(F.col("x")), "403 Forbidden") is True
     assert one(spark, E.is_fatal_error(F.col("x")), "FORBIDDEN") is False
+
+
+def test_ist_shift_ignores_the_session_zone(spark):
+    """A wall clock inside a zone's missing hour is shifted by 5:30 like any other."""
+    from quern.functions import dates as Dt
+    from pyspark.sql import functions as F
+    rows = ["Sun, 10 Mar 2024 02:30:00 GMT", "Tue, 05 Mar 2024 20:00:00 GMT", "Sun,  3 Nov 2024 01:30:00 UTC", "Thu, 31 Feb 2024 01:00:00 GMT", "x"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r[0] for r in spark.createDataFrame([(r,) for r in rows], "p string").select(Dt.gmt_to_ist(F.col("p"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2024-03-10 08:00:00", "2024-03-06 01:30:00", "2024-11-03 07:00:00", rows[3], "x"]
