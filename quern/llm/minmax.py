@@ -36,6 +36,8 @@ K = 5
 PERMUTATIONS = 60
 ROWS = 5
 LEAST_PERCENT = 85
+#: A shingle that at most so many open classes hold is rare.
+RARE = 8
 #: Node numbers of rows without doc_id start here, above all ids.
 NO_ID = 1 << 62
 
@@ -151,28 +153,43 @@ def _grams(b: pa.RecordBatch):
 
 
 def _open_pairs(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of one bucket in different components that could still be similar.
-
-    A shingle that only one open class holds is shared with no other, so
-    two classes share at most the rest of either set; ``room`` is the
-    largest partner that this rest still allows. A class with less room
-    than its bucket's smallest set has no partner there. The bound is
-    exact, and it spares a large group of loose copies all its pairs.
+    """Pairs (u, v) in different components that could still be similar.
+
+    Shingles that at most ``RARE`` open classes hold are rare. Two classes
+    that share no rare shingle share at most the rest of either set, and
+    ``room`` is the largest partner this rest allows: such pairs are looked
+    for in their buckets, and a class with less room than its bucket's
+    smallest set has no partner there. Pairs that do share rare shingles
+    are counted by those shingles, at most ``RARE`` classes each. Both
+    bounds are exact; a large group of loose copies costs no pair of its
+    common shingles.
     """
-    some = open_.select("cls").distinct()
-    grams = map_arrow(texts.join(some, texts["node"] == some["cls"]).select("node", "text"), lambda: _grams, "cls bigint, gram bigint")
-    own = grams.groupBy("gram").agg(F.count("*").alias("c"), F.min("cls").alias("cls")).filter("c = 1").groupBy("cls").agg(F.count("*").alias("own"))
-    x = (open_.join(own, "cls", "left").withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0)))
-         .withColumn("room", F.expr(f"floor((100 + {percent}) * shared / {percent}) - n")))
-    x = x.join(x.groupBy("key").agg(F.min("n").alias("least_n")), "key").filter("room >= least_n")
-    x = shared_table(x, "roomy")
+    some = open_.select("cls", "n", "root").distinct()
+    grams = shared_table(map_arrow(texts.join(some, texts["node"] == some["cls"]).select("node", "text"),
+                                   lambda: _grams, "cls bigint, gram bigint"), "grams")
+    few = grams.groupBy("gram").agg(F.count("*").alias("c")).filter(F.col("c") <= RARE)
+    rare = grams.join(few, "gram")
+    counts = rare.groupBy("cls").agg(F.count("*").alias("rare"), F.count(F.when(F.col("c") == 1, 1)).alias("own"))
+    sizes = shared_table(some.join(counts, "cls", "left").na.fill(0, ["rare", "own"]), "sizes")
+    like = f"100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)"
+    # Without a rare shingle in common.
+    x = (open_.join(sizes.select("cls", "rare"), "cls")
+         .withColumn("room", F.expr(f"floor((100 + {percent}) * (n - rare) / {percent}) - n")))
+    x = shared_table(x.join(x.groupBy("key").agg(F.min("n").alias("least_n")), "key").filter("room >= least_n"), "roomy")
     left = x.select("key", "lo", "hi", *[F.col(c).alias(f"{c}_u") for c in ("cls", "n", "root", "room")])
     right = x.select(F.col("key").alias("key_v"), *[F.col(c).alias(f"{c}_v") for c in ("cls", "n", "root", "room")])
-    pairs = left.join(right, F.expr(
+    common = left.join(right, F.expr(
         "key = key_v AND cls_u > cls_v AND root_u <> root_v AND n_v <= room_u AND n_u <= room_v "
-        "AND cls_u <> lo AND cls_u <> hi AND cls_v <> lo AND cls_v <> hi "
-        f"AND 100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)"))
-    return pairs.select(F.col("cls_u").alias("u"), F.col("cls_v").alias("v"))
+        f"AND cls_u <> lo AND cls_u <> hi AND cls_v <> lo AND cls_v <> hi AND {like}"))
+    # With rare shingles in common: classes that even these could carry.
+    able = sizes.filter(f"floor((100 + {percent}) * (n - own) / {percent}) - n >= {percent} * n / 100")
+    held = shared_table(rare.filter("c > 1").select("cls", "gram").join(able, "cls"), "rare")
+    one, two = ([F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "root", "rare")] for s in "uv")
+    shared = (held.select("gram", *one).join(held.select(F.col("gram").alias("gram_v"), *two), F.expr(
+        f"gram = gram_v AND cls_u > cls_v AND root_u <> root_v AND {like}"))
+        .groupBy("cls_u", "cls_v", "n_u", "n_v", "rare_u", "rare_v").agg(F.count("*").alias("r"))
+        .filter(f"(100 + {percent}) * (least(n_u - rare_u, n_v - rare_v) + r) >= {percent} * (n_u + n_v)"))
+    return common.select("cls_u", "cls_v").union(shared.select("cls_u", "cls_v")).toDF("u", "v")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -183,8 +200,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = shared_table(map_arrow(d.select("doc_id", "node", "text"), _features, FEATURES), "minmax")
     some = rows.filter("n_shingles > 0")
     # Equal sets: one class, named by its least node.
-    classes = some.groupBy("a", "b").agg(F.min("node").alias("cls"))
-    named = some.join(classes, ["a", "b"])
+    classes = some.groupBy("a", "b").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most")
+    classes = shared_table(classes.select("a", "b", "least"), "classes")
+    named = some.join(classes, ["a", "b"], "left").withColumn("cls", F.coalesce("least", "node")).drop("least")
     member = shared_table(named.select(F.col("node"), "cls").filter("node <> cls").distinct(), "members")
     leaders = named.filter("node = cls").select("cls", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["cls"])
     in_bucket = leaders.select(F.explode("bands").alias("key"), "cls", "n")
