@@ -141,3 +141,37 @@ def gram_hash(h: np.ndarray, k: int) -> np.ndarray:
     for i in range(k):
         out = out * _P + h[i:i + n]
     return mix64(out)
+
+
+class WordTable:
+    """What ``make`` gave for the words a worker met lately.
+
+    Two generations of at most ``most`` words each: when the new one is full
+    it becomes the old one, and a word met again moves on, so frequent words
+    stay and memory is bounded.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most = make, most
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _add(self, word: str) -> bytes:
+        v = self.new.get(word)
+        if v is None:
+            v = self.old.get(word)
+            if v is None:
+                v = self.make(word)
+            if len(self.new) >= self.most:
+                self.old, self.new = self.new, {}
+            self.new[word] = v
+        return v
+
+    def join(self, words: list[str]) -> bytes:
+        """What the words gave, one after the other."""
+        out = list(map(self.new.get, words))
+        if None in out:
+            for i, v in enumerate(out):
+                if v is None:
+                    out[i] = self._add(words[i])
+        return b"".join(out)

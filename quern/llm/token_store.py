@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import map_arrow, pieces_of
+from quern.llm.common import WordTable, map_arrow
 from quern.session import checkpoint_dir
 
 MAGIC = b"QTS1"
@@ -43,8 +43,8 @@ HEAD = struct.Struct("<4sQQBB6x")
 SAMPLE = 512
 #: Ids in a segment before the next begins (a longer document has its own).
 SEGMENT_IDS = 2_000_000
-#: Words a worker remembers before it starts afresh.
-MOST_WORDS = 600_000
+#: Words of each generation that a worker remembers.
+MOST_WORDS = 350_000
 
 
 # --- the format ---------------------------------------------------------
@@ -152,9 +152,11 @@ class WordEncoder:
         self.byte_chars = _byte_chars()
         self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.seen: dict[str, bytes] = {}
+        self.words = WordTable(lambda w: np.array(self._word(w), f"<u{self.width}").tobytes(), MOST_WORDS)
 
     def _word(self, word: str) -> list[int]:
+        if not word:
+            return []
         if "<|" in word or not _WORD.fullmatch(word):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         out: list[int] = []
@@ -164,13 +166,7 @@ class WordEncoder:
         return out
 
     def encode(self, text: str) -> bytes:
-        words = _CUT.split(text)
-        if len(self.seen) > MOST_WORDS:
-            self.seen.clear()
-        kind = f"<u{self.width}"
-        for w in set(words).difference(self.seen):
-            self.seen[w] = np.array(self._word(w) if w else [], kind).tobytes()
-        return b"".join(map(self.seen.__getitem__, words))
+        return self.words.join(_CUT.split(text))
 
 
 def _byte_chars() -> dict[int, str]:
