@@ -136,3 +136,18 @@ def test_trie_counts_equal_plain_dynamic_programming(spark):
             for d, t in rows]
     assert sorted((x.doc_id or 0, x.n_pretokens, x.n_tokens) for x in table) == sorted(want)
     assert D.token_counts(spark.createDataFrame([], SCHEMA), scores).count() == 0
+
+
+def test_word_table_is_bounded_and_right():
+    from quern.llm.common import WordTable
+    made = []
+
+    def make(w):
+        made.append(w)
+        return w.encode() + b";"
+    table, r = WordTable(make, 10), random.Random(1)
+    for _ in range(200):
+        words = [r.choice(["a", "b", f"w{r.randrange(60)}"]) for _ in range(r.randrange(12))]
+        assert table.join(words) == "".join(w + ";" for w in words).encode()
+        assert len(table.new) <= 10 and len(table.old) <= 10
+    assert made.count("a") < 5 and len(made) > 100
