@@ -18,7 +18,7 @@ DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 #: A text is rejected where no language holds this mean share of its words.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
