@@ -239,7 +239,8 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     s = spark.read.schema(SEGMENTS).parquet(path)
     per_part = s.groupBy("part").agg(F.sum("n_ids").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return s.join(per_part.select("part", before.alias("_base")), "part").select(
+    # One row a partition, a number the writer chose: small enough to send to all, so segments stay where they are.
+    return s.join(F.broadcast(per_part.select("part", before.alias("_base"))), "part").select(
         "part", "seg", (F.col("_base") + F.col("ids_before")).alias("first"), "n_ids", "doc_ids", "data")
 
 
