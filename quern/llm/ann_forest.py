@@ -4,7 +4,8 @@ Each tree hashes a vector to a long string of bits, the signs of random
 projections, and keeps the strings sorted. A query descends in every tree
 to its longest matching prefixes, which lie side by side there; then all
 trees ascend together, one prefix length at a time, until together they
-hold enough candidates. The candidates are scored on the original vectors
+hold enough candidates, and those the wanted number of different ids besides
+the query's, or all there are. The candidates are scored on the original vectors
 in double precision.
 
 Rows are dealt by a hash into blocks of bounded size, each with a forest of
@@ -68,18 +69,24 @@ class Forest:
                 hi[i, up] = np.searchsorted(self.sorted[i], codes[i] | free, "right")
         return lo, hi
 
-    def candidates(self, queries: np.ndarray, wanted: int):
-        """For each query the entries that share its prefixes, from the first level with ``wanted`` of them."""
+    def candidates(self, queries: np.ndarray, wanted: int, enough=lambda q, at: True):
+        """For each query the entries that share its prefixes, from the first level with ``wanted`` of them,
+        an entry counted once a tree, whose distinct entries are ``enough``; or all."""
         lo, hi = self.spans(self.codes(queries))
         held = (hi - lo).sum(axis=0)                       # (levels, queries), rising as prefixes get shorter
         level = np.argmax(held >= min(wanted, held[-1].min() if held.size else 0), axis=0)
         mark = np.zeros(self.order.shape[1], bool)
         for q, up in enumerate(level.tolist()):
-            parts = [self.order[i, lo[i, up, q]:hi[i, up, q]] for i in range(self.trees)]
-            mark[:] = False
-            for p in parts:
-                mark[p] = True
-            yield q, np.flatnonzero(mark)
+            while True:
+                parts = [self.order[i, lo[i, up, q]:hi[i, up, q]] for i in range(self.trees)]
+                mark[:] = False
+                for p in parts:
+                    mark[p] = True
+                at = np.flatnonzero(mark)
+                if up == self.bits or enough(q, at):
+                    break
+                up += 1
+            yield q, at
 
 
 def _entries(ids: np.ndarray, vectors: np.ndarray, most: int):
@@ -103,14 +110,31 @@ def search_block(ids, vectors, query_ids, queries, k: int, share: float, least:
     q_size = np.sqrt((queries * queries).sum(axis=1))
     wanted = max(least, int(np.ceil(share * len(entries) * trees)))
     out = []
-    for q, at in forest.candidates(queries / q_size[:, None], wanted):
+
+    def enough(q, at):
+        others: set = set()
+        for a in at.tolist():
+            others.update(owners[a][owners[a] != query_ids[q]].tolist())
+            if len(others) >= k:
+                return True
+        return False
+
+    def best(q, at, score):
+        found: dict = {}
+        for s, v in sorted((-s, int(v)) for s, a in zip(score.tolist(), at.tolist()) for v in owners[a] if v != query_ids[q]):
+            if len(found) < k:
+                found.setdefault(v, -s)
+        return found
+
+    for q, at in forest.candidates(queries / q_size[:, None], wanted, enough):
         score = (entries[at] @ queries[q]) / (size[at] * q_size[q])
+        near = np.ones(len(at), bool)
         if len(at) > 4 * (k + 2):  # only entries that can be among the nearest, ties kept
-            edge = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
-            near = score >= edge
-            at, score = at[near], score[near]
-        found = sorted((-s, int(v)) for s, a in zip(score.tolist(), at.tolist()) for v in owners[a] if v != query_ids[q])[:k]
-        out += [(int(query_ids[q]), v, -s) for s, v in found]
+            near = score >= np.partition(score, len(score) - k - 1)[len(score) - k - 1]
+        found = best(q, at[near], score[near])
+        if len(found) < k and not near.all():  # one id has several of them
+            found = best(q, at, score)
+        out += [(int(query_ids[q]), v, s) for v, s in found.items()]
     return out
 
 

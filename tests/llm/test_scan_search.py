@@ -257,6 +257,23 @@ def test_forest_levels_hold_what_shares_the_prefix():
                 assert set(f.order[t, lo[t, up, q]:hi[t, up, q]]) == want
 
 
+def test_search_gives_k_rows_around_tight_groups(spark):
+    """Tight neighbours, or an id with many vectors, fill the trees but not the answer."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(20, 16))
+    v[1], v[2] = v[0] + 1e-9, v[0] - 1e-9
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(50, (v[0] + j * 1e-9).tolist()) for j in range(2, 12)]
+    ids, every = np.array([i for i, _ in rows]), np.array([x for _, x in rows])
+    got: dict = {}
+    for x in A.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append(x.vec_id)
+    assert set(got) == {0, 50} and all(len(g) == len(set(g)) == 5 for g in got.values())
+    assert all({1, 2} <= set(g) for g in got.values())
+    few = [(i, x) for i, x in rows if i in (0, 1, 50)]
+    got = A.search(spark.createDataFrame(few, "vec_id bigint, embedding array<double>")).collect()
+    assert {(x.query_id, x.vec_id) for x in got} == {(0, 1), (0, 50), (50, 0), (50, 1)}
+
+
 # --- URLs ---------------------------------------------------------------
 
 def split(url):
