@@ -4,7 +4,8 @@ A rule names a host and a path: it fits that host and its subdomains where
 the URL's path starts with the rule's, and the longest rule that fits
 decides. URLs that a rule decides, and URLs on hosts with a word of the
 block list, are the labelled ones; boosted trees are fitted on a bounded
-sample of them (``TRAIN_ROWS``) and judge the URLs without a rule.
+sample of them (``TRAIN_ROWS``) and judge the URLs without a rule. The
+sample holds both kinds wherever the table does (``sample_sizes``).
 
 Features, all DataFrame expressions: lengths of URL, host and path, depth,
 host labels, longest label, digit ratio, hyphens, letter entropy of the
@@ -52,6 +53,8 @@ BLOCK_WORDS = ("adult", "casino", "bets", "pills", "spam", "ads-track", "malware
 
 #: Labelled URLs the trees are fitted on, at most.
 TRAIN_ROWS = 20_000
+#: Of the rarer kind at least so many of them, if there are.
+LEAST_OF_KIND = 1_000
 TREES, DEPTH = 12, 4
 
 FEATURES = ("url_len", "host_len", "path_len", "depth", "labels", "longest_label", "digits", "hyphens", "entropy", "params",
@@ -114,6 +117,19 @@ def lexical(df: DataFrame, url_col: str = "url") -> DataFrame:
     return x
 
 
+def sample_sizes(count: dict[float, int], train_rows: int = TRAIN_ROWS) -> dict[float, int]:
+    """How many labelled URLs of each kind the trees are fitted on: all, or ``train_rows`` in
+    the kinds' shares, of the rarer one at least ``LEAST_OF_KIND`` (or all, or half of the sample)."""
+    total = sum(count.values())
+    if total <= train_rows:
+        return dict(count)
+    out, left = {}, train_rows
+    for kind in sorted(count, key=lambda c: (count[c], c))[:-1]:
+        out[kind] = max(train_rows * count[kind] // total, min(count[kind], LEAST_OF_KIND, train_rows // 2))
+        left -= out[kind]
+    return out | {kind: left for kind in count if kind not in out}
+
+
 def judge(df: DataFrame, rules=RULES, block_words=BLOCK_WORDS, train_rows: int = TRAIN_ROWS, id_col: str = "page_id",
           url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict, score (probability of ``block``; of a rule's verdict 0 or 1)."""
@@ -127,17 +143,19 @@ def judge(df: DataFrame, rules=RULES, block_words=BLOCK_WORDS, train_rows: int =
     for w in block_words:
         listed = listed | F.col("host").contains(w)
     label = (F.when(listed, 1.0).when(F.col("_rule.verdict") == "block", 1.0).when(F.col("_rule.verdict") == "allow", 0.0))
-    x = lexical(x.withColumn("label", label))
+    x = x.withColumn("label", label)
+    kinds = sample_sizes({r["label"]: r["count"] for r in x.filter("label IS NOT NULL").groupBy("label").count().collect()}, train_rows)
+    x = lexical(x)
     x = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(x)
-    # The sample: the labelled URLs first in the order of a hash.
-    train = (x.filter("label IS NOT NULL").orderBy(F.xxhash64("url", "page_id"), "url").limit(train_rows)
-             .select("label", "features"))
-    kinds = {r["label"] for r in train.select("label").distinct().collect()}
+    # The sample: of each kind the labelled URLs first in the order of a hash.
     if len(kinds) == 2:
+        parts = [x.filter(F.col("label") == kind).orderBy(F.xxhash64("url", "page_id"), "url").limit(n).select("label", "features")
+                 for kind, n in sorted(kinds.items())]
+        train = parts[0].unionByName(parts[1])
         model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=5, stepSize=0.3).fit(train.coalesce(1))
         x = model.transform(x).withColumn("_p", vector_to_array("probability")[1])
     else:
-        x = x.withColumn("_p", F.lit(1.0 if kinds == {1.0} else 0.0))
+        x = x.withColumn("_p", F.lit(1.0 if set(kinds) == {1.0} else 0.0))
     own = F.when(F.col("_p") > 0.5, "block").otherwise("allow")
     return x.select("page_id", "host", "path", F.col("_rule.rule").alias("rule"),
                     F.coalesce("_rule.verdict", own).alias("verdict"),

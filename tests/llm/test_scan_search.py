@@ -313,3 +313,17 @@ def test_url_trees_learn_their_labels(spark):
         assert x.rule == (r.name if r else None) and (r is None or x.verdict == r.verdict)
     listed = [x.score > 0.5 for x in got if x.rule is None and any(w in x.host for w in U.BLOCK_WORDS)]
     assert not listed or sum(listed) / len(listed) > 0.8
+
+
+def test_url_sample_holds_both_kinds(spark):
+    """However rare a kind is among the labelled URLs, the trees learn it."""
+    rows = [(i, f"http://site{i % 97}.org/page/{i}") for i in range(3000)] + [(5000, "http://x.casino-bets.net/a?b=1&c=2")]
+    rows += [(6000 + i, f"http://y{i}.casin0-bet.net/a?b={i}&c=2") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string")
+    own = [x.score for x in U.judge(df, train_rows=200).collect() if x.rule is None]
+    assert len(own) == 6 and min(own) > 0.0
+    few = U.sample_sizes({0.0: 3000, 1.0: 1}, 200)
+    assert few == {0.0: 199, 1.0: 1}
+    assert U.sample_sizes({0.0: 150, 1.0: 50}, 200) == {0.0: 150, 1.0: 50} and U.sample_sizes({0.0: 7000}, 200) == {0.0: 200}
+    assert U.sample_sizes({0.0: 10**9, 1.0: 10**9}, 20_000) == {0.0: 10_000, 1.0: 10_000}
+    assert U.sample_sizes({0.0: 10**9, 1.0: 5000}, 20_000) == {0.0: 19_000, 1.0: 1000} and U.sample_sizes({}, 200) == {}
