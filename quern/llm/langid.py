@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from quern.llm.common import map_arrow, pieces_of
 
 UNKNOWN = "und"
-#: The labelled sample the model is fitted on: so many whole texts of each
-#: language, of at most so many characters each.
-DOCS_PER_LANG, SAMPLE_CHARS = 80, 40_000
+#: The labelled sample the model is fitted on: so many texts of each language,
+#: of at most so many characters each; of longer texts so many pieces.
+DOCS_PER_LANG, SAMPLE_CHARS, PIECES = 80, 40_000, 8
 #: Frequent words of each language in the lexicon.
 LEXICON_WORDS = 4000
 GRAM_BITS, LEXICON_BITS = 17, 16
@@ -244,22 +244,38 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
     return model
 
 
+def _pieces(text):
+    """The words of a long text, or runs of them spread evenly over it, ``SAMPLE_CHARS`` characters in all."""
+    words = F.regexp_replace(text, r"[^\p{L}]+", " ")  # blanks for what no word holds
+    size = SAMPLE_CHARS // PIECES
+    step = (F.length(words) - size) / (PIECES - 1)
+    cut = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)),
+                      lambda i: F.substr(words, (F.floor(i * step) + 1).cast("int"), F.lit(size)))
+    # A word cut at the border of a piece goes.
+    whole = F.transform(cut, lambda p: F.regexp_replace(p, r"^\p{L}{0,99} | \p{L}{0,99}$", " "))
+    return F.when(F.length(words) <= SAMPLE_CHARS, words).otherwise(F.concat_ws(" ", whole))
+
+
 def sample(df: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> list[tuple[str, str]]:
-    """Up to ``docs_per_lang`` whole labelled texts of each language, by the order of a hash.
+    """Up to ``docs_per_lang`` labelled texts of each language, by the order of a hash.
 
     ``df`` has the columns doc_id, text, lang; rows without any of them are
-    left out, and so are texts above ``SAMPLE_CHARS``.
+    left out. Texts of up to ``SAMPLE_CHARS`` come first, and whole; where a
+    language has too few of them, runs of words of its longer ones follow.
     """
-    d = df.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").filter(F.length("text") <= SAMPLE_CHARS)
-    d = d.withColumn("_h", F.xxhash64("doc_id", "text"))
-    n = {r["lang"]: r["count"] for r in d.groupBy("lang").count().collect()}  # one row a language
+    d = df.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
+    d = d.withColumn("_h", F.xxhash64("doc_id", "text")).withColumn("_long", F.length("text") > SAMPLE_CHARS)
+    n = {(r["lang"], r["_long"]): r["count"] for r in d.groupBy("lang", "_long").count().collect()}  # two rows a language
     if not n:
         return []
     share = F.lit(1.0)
-    for lang, c in n.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 8.0 * docs_per_lang / c))).otherwise(share)
-    w = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    for (lang, long), c in n.items():
+        some = not long or n.get((lang, False), 0) < docs_per_lang
+        share = F.when((F.col("lang") == lang) & (F.col("_long") == long),
+                       F.lit(min(1.0, 8.0 * docs_per_lang / c) if some else 0.0)).otherwise(share)
+    w = Window.partitionBy("lang").orderBy("_long", "_h", "doc_id")
     thin = d.filter(F.pmod("_h", F.lit(1_000_003)) < share * 1_000_003)
+    thin = thin.withColumn("text", F.when(F.col("_long"), _pieces(F.col("text"))).otherwise(F.col("text")))
     keep = thin.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= docs_per_lang)
     return [(r["lang"], r["text"]) for r in keep.select("lang", "text").collect()]
 

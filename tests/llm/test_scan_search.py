@@ -79,6 +79,26 @@ def test_language_edges(spark):
     assert L.predict(df.limit(0), model).count() == 0
 
 
+def test_language_of_long_texts_only_is_learned(spark):
+    """A language is learned from pieces of its long texts where its shorter ones don't fill the sample."""
+    rng = random.Random(4)
+    words = {"en": "the and of with that from".split(), "de": "der und nicht auch noch wir".split(), "fr": "avec dans pour les une est".split()}
+    text = lambda l, n: " ".join(rng.choice(words[l]) for _ in range(n))
+    rows = [(i, text("en", 200), "en") for i in range(0, 40)] + [(100 + i, text("de", 12_000), "de") for i in range(8)]
+    rows += [(200, "1 " * 30_000 + text("fr", 12_000), "fr"), (201, "est", "fr")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    taken = L.sample(df)
+    assert max(len(t) for _, t in taken) <= L.SAMPLE_CHARS + 8
+    assert sorted(l for l, _ in taken) == ["de"] * 8 + ["en"] * 40 + ["fr"] * 2
+    assert all(set(t.split()) <= set(words["de"]) and len(t) > 35_000 for l, t in taken if l == "de")
+    assert max(len(t) for l, t in taken if l == "fr") > 30_000
+    model = L.train(taken)
+    asked = [(i, text(l, 30), l) for i, l in enumerate(["en", "de", "fr"])]
+    got = {x.doc_id: x.lang_pred for x in L.predict(spark.createDataFrame(asked, "doc_id bigint, text string, lang string"), model).collect()}
+    assert got == {0: "en", 1: "de", 2: "fr"}
+    assert L.sample(df, 5) and {l: sum(k == l for k, _ in L.sample(df, 5)) for l in words} == {"en": 5, "de": 5, "fr": 2}
+
+
 # --- mixing -------------------------------------------------------------
 
 def plain_targets(sizes, most=3):
