@@ -36,7 +36,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays."""
+    """One document of each near-duplicate component stays.
+
+    Documents link at a Jaccard of word shingles of ``minmax.LEAST_PERCENT``
+    (85) percent or more; below it, from 80 percent too, only through others.
+    """
     return minmax.keep_first(docs).select(DOCUMENT)
 
 
