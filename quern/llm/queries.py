@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quern.llm import (
-    ann_forest, chunk_dedup, hard_negatives, langid, length_packing, license_scan, minmax, mixing, piece_encode, token_dp, token_store, url_trees)
+    ann_forest, chunk_dedup, conversation_trie, hard_negatives, langid, length_packing, license_scan, minmax, mixing, piece_encode, token_dp, token_store, url_trees)
 from quern.llm.common import table
 
 
@@ -63,6 +63,10 @@ def op10_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_trees.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_monoid_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations")).drop("turn_conv_id", "turn_pos")
+
+
 def op12_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = length_packing.pieces(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
     return length_packing.digest(length_packing.pack(encoded))
@@ -75,9 +79,11 @@ def op13_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_crf_langid, op2_curriculum_mix, op3_trie_token_counts, op4_token_store, op5_piece_encode, op6_license_scan,
-    op7_minmax_neardup, op8_chunk_recipes, op9_prefix_forest, op10_url_trees, op12_length_packing, op13_threshold_negatives)}
+    op7_minmax_neardup, op8_chunk_recipes, op9_prefix_forest, op10_url_trees, op11_monoid_prefix_trie,
+    op12_length_packing, op13_threshold_negatives)}
 
 ORACLES = {
     "op8_chunk_recipes": chunk_dedup.ORACLE,
+    "op11_monoid_prefix_trie": conversation_trie.ORACLE,
     "op13_threshold_negatives": hard_negatives.ORACLE,
 }
