@@ -81,9 +81,9 @@ ENGLISH_TERMS = [
     "water level", "dam overflow", "bridge collapse",
 ]
 
-# The keyword lists of the regional languages with most regions.
-# Lists of other languages are a parameter (``read_terms``); without one a
-# language falls back to English.
+# The keyword list of each regional language (25 terms at most;
+# a repeated term stays). Further lists are a parameter (``read_terms``);
+# a language without a list falls back to English.
 REGIONAL_TERMS = {
     "hi": [
         "मॉनसून", "भारी बारिश", "बादल फटना", "बाढ़",
@@ -139,6 +139,74 @@ REGIONAL_TERMS = {
         "पर्जन्यवृष्टी", "वादळ", "हवामान सावधगिरी",
         "बचाव कार्य", "मदत छावणी", "स्थलांतर",
     ],
+    "ml": [
+        "മൺസൂൺ", "കനത്ത മഴ", "മേഘവിറക്കം", "വെള്ളപ്പൊക്കം",
+        "ഹർത്താൽ വെള്ളപ്പൊക്കം", "ജലനിലവാരം", "ഭൂസ്ഖലനം",
+        "ചുഴലിക്കാറ്റ്", "വൈദ്യുതി തകരാർ", "പൈപ്പ് പൊട്ടൽ",
+        "മാലിന്യ വെള്ളപ്പൊക്കം", "പാമ്പുകടിയേറ്റൽ", "കോളറ",
+        "ഡെങ്കി", "മലേറിയ", "സാമ്പത്തിക നഷ്ടം", "മരണങ്ങൾ",
+        "മഴയുടെ അളവ്", "കൊടുങ്കാറ്റ്", "കാലാവസ്ഥാ മുന്നറിയിപ്പ്",
+        "രക്ഷാ പ്രവർത്തനങ്ങൾ", "ദുരിതാശ്വാസ ക്യാമ്പുകൾ", "ഒഴിപ്പിക്കൽ",
+    ],
+    "kn": [
+        "ಮಳೆಯ ಕಾಲ", "ಭಾರೀ ಮಳೆ", "ಮೇಘ ಸ್ಫೋಟ", "ಪ್ರವಾಹ",
+        "ಆಕಸ್ಮಿಕ ಪ್ರವಾಹ", "ನೀರಿನ ತಡೆ", "ಭೂಕುಸಿತ",
+        "ಚಂಡಮಾರುತ", "ವಿದ್ಯುತ್ ವ್ಯತ್ಯಯ", "ಪೈಪ್ ಸ್ಫೋಟ",
+        "ಒಳಚರಂಡಿ ಕಲುಷ", "ಹಾವು ಕಚ್ಚು", "ಕಾಲರಾ",
+        "ಡೆಂಗ್ಯು", "ಮಲೆರಿಯಾ", "ಆರ್ಥಿಕ ನಷ್ಟ", "ಮೃತ್ಯು",
+        "ಮಳೆಯ ಪ್ರಮಾಣ", "ಚಂಡಮಾರುತ", "ಹವಾಮಾನ ಎಚ್ಚರಿಕೆ",
+        "ರಕ್ಷಣಾ ಕಾರ್ಯಾಚರಣೆ", "ಪರಿಹಾರ ಶಿಬಿರ", "ಸ್ಥಳಾಂತರಿಸುವಿಕೆ",
+    ],
+    "pa": [
+        "ਮਾਨਸੂਨ", "ਭਾਰੀ ਮੀਂਹ", "ਬੱਦਲ ਫਟਣਾ", "ਹੜ੍ਹ",
+        "ਅਚਾਨਕ ਹੜ੍ਹ", "ਪਾਣੀ ਭਰਨਾ", "ਮਿੱਟੀ ਖਿਸਕਣਾ",
+        "ਚੱਕਰਵਾਤ", "ਬਿਜਲੀ ਬੰਦ", "ਪਾਈਪ ਲੀਕ",
+        "ਸੀਵਰੇਜ ਓਵਰਫਲੋ", "ਸਾਂਪ ਡੱਸਣਾ", "ਕਾਲਰਾ",
+        "ਡੇਂਗੂ", "ਮਲੇਰੀਆ", "ਆਰਥਿਕ ਨੁਕਸਾਨ", "ਮੌਤਾਂ",
+        "ਬਰਸਾਤ", "ਤੂਫਾਨ", "ਮੌਸਮ ਚੇਤਾਵਨੀ",
+        "ਬਚਾਅ ਕਾਰਵਾਈ", "ਰਾਹਤ ਕੈਂਪ", "ਬੇਘਰ ਕਰਨਾ",
+    ],
+    "or": [
+        "ବର୍ଷା", "ଭାରି ବର୍ଷା", "ମେଘ ଫୁଟ", "ବାଢ଼",
+        "ଅପର୍ଯ୍ୟାପ୍ତ ବାଢ଼", "ଜଳ ଭରା", "ଭୂସ୍ଖଳନ",
+        "ଚକ୍ରବାତ", "ବିଦ୍ୟୁତ ବିଚ୍ଛିନ୍ନ", "ପାଇପ ଫାଟିବା",
+        "ନାଳା ଉଫାନ", "ସାପ ଡସିବା", "ହଏଜା",
+        "ଡେଙ୍ଗୁ", "ମାଲେରିଆ", "ଆର୍ଥିକ କ୍ଷତି", "ମୃତ୍ୟୁ",
+        "ବର୍ଷା ପରିମାଣ", "ଝଡ଼", "ପାଗ ଚେତାବନୀ",
+        "ଉଦ୍ଧାର କାର୍ଯ୍ୟ", "ରାହତ କ୍ୟାମ୍ପ", "ସ୍ଥାନାନ୍ତର",
+    ],
+    "as": [
+        "বৰষা", "ভাৰী বৰষুণ", "বদলী বিষ্ফোৰণ", "বানপানী",
+        "হঠনীয়া বান", "পানী জমা", "ভূস্‌খলন",
+        "ঘূৰ্ণী ঝড়", "বিদ্যুৎ বিচ্ছিন্ন", "পাইপ ফুট",
+        "চেফাৰ ওপঙা", "সাপৰ কামোৰ", "হৈজা",
+        "ডেঙ্গু", "মেলেৰিয়া", "আৰ্থিক ক্ষতি", "মৃত্যু",
+        "বৰষুণৰ পৰিমাণ", "ধুমুহা", "বতৰৰ সতৰ্কবাণী",
+        "উদ্ধাৰ কাৰ্য", "সাহায্য শিবিৰ", "স্থানান্তৰ",
+    ],
+    "ne": [
+        "बर्षा", "भारी वर्षा", "बादल फुट्ने", "बाढी",
+        "आकस्मिक बाढी", "पानी जम्ने", "पहिरो",
+        "चक्रवात", "बिजुली कटौती", "पाइप फुट्ने",
+        "ढल ओभरफ्लो", "सर्प टोकाइ", "हैजा",
+        "डेंगु", "मलेरिया", "आर्थिक हानि", "मृत्यु",
+        "वर्षाको मात्रा", "आँधी", "मौसम चेतावनी",
+        "उद्धार कार्य", "राहत शिविर", "स्थानान्तरण",
+    ],
+    "mni": [
+        "ꯅꯣꯡꯄꯣꯛ ꯆꯥꯔꯥ", "ꯑꯀꯅꯕ ꯅꯣꯡꯄꯣꯛ", "ꯅꯣꯡꯄꯣꯛ ꯁꯥꯡꯅ", "ꯏꯁꯤꯡ ꯆꯦꯟꯊꯣꯀꯄ",
+        "ꯊꯨꯅ ꯑꯣꯏꯕ ꯏꯁꯤꯡ", "ꯏꯁꯤꯡ ꯊꯃꯁꯤꯡ", "ꯂꯩꯃꯥꯌ ꯈꯦꯟꯊꯣꯀꯄ",
+        "ꯅꯨꯡꯁꯤꯠ", "ꯏꯀꯥꯏ ꯈꯥꯏꯗꯣꯀꯄ", "ꯄꯥꯏꯞ ꯀꯦꯟꯊꯣꯀꯄ",
+        "ꯁꯤꯋꯔ ꯑꯣꯚꯔꯐ꯭ꯂꯣ", "ꯂꯤꯜ ꯀꯠꯄ", "ꯀꯣꯂꯦꯔꯥ",
+        "ꯗꯦꯡꯒꯨ", "ꯃꯦꯂꯦꯔꯤꯌꯥ", "ꯁꯦꯜ ꯊꯥꯗꯣꯀꯄ", "ꯁꯤꯕ",
+    ],
+    "lus": [
+        "ruahtui", "ruahtui nasa", "chhim thlawk", "tui kaih",
+        "rang taka tui kaih", "tui ding", "tlang tla",
+        "thli huai", "current thi", "tui kawng bo",
+        "sewage kaih chhuak", "rul nei", "cholera",
+        "dengue", "malaria", "sum laklohna", "thih",
+    ],
 }
 
 # Newspaper language names → code, tested in this order (C17).

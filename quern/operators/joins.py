@@ -31,14 +31,17 @@ def relevance_by_language(df: DataFrame, terms: DataFrame, lang: str = "lang") -
     """E5 — attach the term list of each row's language; unknown → English.
 
     ``terms`` is the (lang, ord, term) parameter table; the planner decides
-    by its size how to join it. The English fallback is a literal.
+    by its size how to join it. The fallback is the English list of ``terms``
+    itself, read as a scalar (one value for all rows, no join); the builtin
+    list only where the table has no English.
     """
     arrays = (terms.groupBy("lang")
               .agg(F.array_sort(F.collect_list(F.struct("ord", "term"))).alias("_t"))
               .select(F.col("lang").alias("_lang"), F.transform("_t", lambda s: s["term"]).alias("terms")))
-    english = F.array(*[F.lit(t) for t in dims.ENGLISH_TERMS])
+    english = arrays.where(F.col("_lang") == "en").agg(F.first("terms")).scalar()  # one row, null without English
+    builtin = F.array(*[F.lit(t) for t in dims.ENGLISH_TERMS])
     return (df.join(arrays, F.col(lang) == F.col("_lang"), "left")
-            .withColumn("terms", F.coalesce("terms", english)).drop("_lang"))
+            .withColumn("terms", F.coalesce("terms", english, builtin)).drop("_lang"))
 
 
 def region_language_terms(regions: DataFrame, terms: DataFrame, region: str = "region") -> DataFrame:

@@ -4,7 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
+from quern.dims import languages as dims
 from quern.operators import dedup as D
+from quern.operators import joins
 from quern.operators import ranking as RK
 
 RANK = {"high": 3, "medium": 2, "low": 1}
@@ -152,3 +154,36 @@ def test_banned_patterns_follow_the_streak(spark):
     df = spark.createDataFrame(log, "event_id long, ts timestamp, key long, search_id long, success boolean")
     got = {(r.key, r.search_id) for r in banned_patterns(df, F.lit("en"), attempts=2).collect()}
     assert got == {(1, 1), (1, 2), (3, 1)}
+
+
+# --- keyword lists (C18, E5) ----------------------------------------------
+
+def test_unknown_languages_take_the_english_list_of_the_passed_table(spark):
+    rows = spark.createDataFrame([(1, "es"), (2, "hi"), (3, None), (4, "en")], "id int, lang string")
+    own = spark.createDataFrame([("en", 1, "second"), ("en", 0, "first"), ("hi", 0, "x")], "lang string, ord int, term string")
+    got = {r["id"]: r["terms"] for r in joins.relevance_by_language(rows, own).collect()}
+    assert got == {1: ["first", "second"], 2: ["x"], 3: ["first", "second"], 4: ["first", "second"]}
+    without = joins.relevance_by_language(rows, own.where("lang = 'hi'")).collect()
+    assert {r["id"]: r["terms"][:2] for r in without} == {1: ["monsoon", "heavy rain"], 2: ["x"], 3: ["monsoon", "heavy rain"], 4: ["monsoon", "heavy rain"]}
+
+
+def test_texts_of_every_regional_language_meet_their_own_list(spark):
+    """One phrase of each list, written out here."""
+    texts = [("hi", "कल भारी बारिश हुई"), ("ta", "இன்று கனமழை"), ("te", "నేడు భారీ వర్షం"), ("bn", "আজ ভারী বৃষ্টি"),
+             ("gu", "આજે ભારે વરસાદ"), ("mr", "आज मुसळधार पाऊस"), ("ml", "ഇന്ന് കനത്ത മഴ"), ("kn", "ಇಂದು ಭಾರೀ ಮಳೆ"),
+             ("pa", "ਅੱਜ ਭਾਰੀ ਮੀਂਹ"), ("or", "ଆଜି ଭାରି ବର୍ଷା"), ("as", "আজি ভাৰী বৰষুণ"), ("ne", "आज भारी वर्षा"),
+             ("mni", "ꯉꯁꯤ ꯅꯨꯡꯁꯤꯠ"), ("lus", "vawiin ruahtui nasa")]
+    from quern.functions.relevance import term_hits
+    df = joins.relevance_by_language(spark.createDataFrame(texts, "lang string, text string"), dims.terms_frame(spark))
+    got = {r["lang"]: r["h"] for r in df.select("lang", term_hits("text", F.col("terms")).alias("h")).collect()}
+    assert len(got) == 14 and all(got.values())
+    assert got["ml"] == ["കനത്ത മഴ"] and got["lus"] == ["ruahtui", "ruahtui nasa"] and got["or"] == ["ବର୍ଷା", "ଭାରି ବର୍ଷା"]
+    assert dims.REGIONAL_TERMS["kn"].count("ಚಂಡಮಾರುತ") == 2 and sum(map(len, dims.REGIONAL_TERMS.values())) == 343 - 31
+
+
+def test_every_region_has_its_languages_terms(spark):
+    pairs = dims.region_languages_frame(spark)
+    got = joins.region_language_terms(pairs.select("region").distinct(), dims.terms_frame(spark))
+    n = {(r["region"], r["lang"]): r["n"] for r in got.groupBy("region", "lang").agg(F.count("*").alias("n")).collect()}
+    assert len(n) == 102
+    assert all(k == len(dims.REGIONAL_TERMS.get(lang, dims.ENGLISH_TERMS)) for (_, lang), k in n.items())
