@@ -148,15 +148,21 @@ class WordTable:
 
     Two generations of at most ``most`` words each: when the new one is full
     it becomes the old one, and a word met again moves on, so frequent words
-    stay and memory is bounded.
+    stay. Words of more than ``LONG`` characters (whole texts without a blank,
+    in some scripts) are made each time and not kept, so memory is bounded in
+    bytes as well.
     """
 
+    LONG = 64
+
     def __init__(self, make: Callable[[str], bytes], most: int):
         self.make, self.most = make, most
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _add(self, word: str) -> bytes:
+        if len(word) > self.LONG:
+            return self.make(word)
         v = self.new.get(word)
         if v is None:
             v = self.old.get(word)
@@ -167,11 +173,14 @@ class WordTable:
             self.new[word] = v
         return v
 
+    def get(self, words: list[str]) -> list[bytes]:
+        """What each of the words gave."""
+        out = list(map(self.new.get, words))
+        for i, v in enumerate(out):
+            if v is None:
+                out[i] = self._add(words[i])
+        return out
+
     def join(self, words: list[str]) -> bytes:
         """What the words gave, one after the other."""
-        out = list(map(self.new.get, words))
-        if None in out:
-            for i, v in enumerate(out):
-                if v is None:
-                    out[i] = self._add(words[i])
-        return b"".join(out)
+        return b"".join(self.get(words))

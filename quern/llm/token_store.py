@@ -31,11 +31,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import WordTable, map_arrow
+from quern.llm.common import WordTable, map_arrow, pieces_of
 from quern.session import checkpoint_dir
 
 MAGIC = b"QTS1"
@@ -86,22 +87,29 @@ class Segment:
         self.samples = np.frombuffer(data, "<u4", n_samples, at := at + n_high)
         self.ids = np.frombuffer(data, f"<u{width}", self.n_ids, at + 4 * n_samples)
 
-    def _select(self, i: int) -> int:
-        """Position of the i-th one bit: from the sample before it, at most 511 ones on."""
-        at = int(self.samples[i // SAMPLE])
-        nxt = i // SAMPLE + 1
-        stop = (int(self.samples[nxt]) >> 3) + 1 if nxt < len(self.samples) else len(self.high)
-        bits = np.unpackbits(self.high[at >> 3:stop], bitorder="little")
-        return at + int(np.flatnonzero(bits[at & 7:])[i % SAMPLE])
+    def select(self, i: np.ndarray) -> np.ndarray:
+        """Positions of the i-th one bits (``i`` rising): each from the sample before it, at most 511 ones on."""
+        block = i // SAMPLE
+        cuts = np.flatnonzero(np.diff(block, prepend=-1))
+        out = np.empty(len(i), np.int64)
+        for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(i)]):
+            k = int(block[lo])
+            at = int(self.samples[k])
+            stop = (int(self.samples[k + 1]) >> 3) + 1 if k + 1 < len(self.samples) else len(self.high)
+            ones = np.flatnonzero(np.unpackbits(self.high[at >> 3:stop], bitorder="little")[at & 7:])
+            out[lo:hi] = at + ones[i[lo:hi] % SAMPLE]
+        return out
 
-    def _low_of(self, i: int) -> int:
-        at, v = i * self.low_bits, 0
-        for k in range(self.low_bits):
-            v |= (int(self.low[(at + k) >> 3]) >> ((at + k) & 7) & 1) << k
-        return v
+    def ends(self, i: np.ndarray | None = None) -> np.ndarray:
+        """The ends of documents ``i`` (rising; all by default), by select and their low bits."""
+        i = np.arange(self.n_docs) if i is None else i
+        high = (self.select(i) - i) << self.low_bits
+        at = i[:, None] * self.low_bits + np.arange(self.low_bits)
+        bits = (self.low[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+        return high | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
 
     def end(self, i: int) -> int:
-        return ((self._select(i) - i) << self.low_bits) | self._low_of(i)
+        return int(self.ends(np.array([i]))[0])
 
     def bounds(self, i: int) -> tuple[int, int]:
         return self.end(i - 1) if i else 0, self.end(i)
@@ -110,36 +118,32 @@ class Segment:
         lo, hi = self.bounds(i)
         return self.ids[lo:hi]
 
-    def ends(self) -> np.ndarray:
-        """All ends in one pass (a scan of the whole bit vector)."""
-        at = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n_docs]
-        high = (at - np.arange(self.n_docs)).astype(np.int64) << self.low_bits
-        if not self.low_bits:
-            return high
-        bits = np.unpackbits(self.low, bitorder="little")[:self.n_docs * self.low_bits].reshape(self.n_docs, -1)
-        return high | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
-
 
 # --- encoding -----------------------------------------------------------
 
-_WORD = re.compile(r"[!-~\u00c0-\u024f]+")
-_CUT = re.compile(r"[ \n\t\r]+")
+#: Words that the ranked merges take: lower-case letters, digits and signs of ASCII, and these letters.
+_PLAIN = re.compile(r"[!-@\[-~\u00df-\u00ff]+")
 _ENCODERS: dict[int, WordEncoder] = {}
+#: Characters of text whose words are looked up at once.
+BATCH_CHARS = 8_000_000
 
 
 class WordEncoder:
-    """Ids of whole texts as the tokenizers library gives them, a word at a time.
+    """Ids of whole texts as the tokenizers library gives them, a batch of texts at a time.
 
     The vocabulary's tokens never cross white space, so a text is the words
-    between its blanks. A word of plain letters and signs goes straight to
-    the library's pre-tokens and merges; any other word (marks, other
-    scripts, special tokens) goes through the whole library. What a word
-    gave is kept for the worker's later texts.
+    between its blanks. Arrow splits a batch and finds its distinct words;
+    each is encoded once, and ids are gathered by word. A word of plain
+    letters and signs goes to its pre-tokens and then to the merges by rank
+    (tiktoken; a pre-token's last byte has a symbol of its own, as it bears
+    the end mark). Any other word (marks, other scripts, special tokens) goes
+    through the whole library. What a word gave is kept for later batches.
     """
 
     def __init__(self, spec: str):
         import json
         import regex
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
         conf = json.loads(spec)
@@ -149,24 +153,57 @@ class WordEncoder:
                 or level["type"] != "ByteLevel" or level["add_prefix_space"] or not split["invert"]):
             raise ValueError("not a lower-case tokenizer that drops white space")
         self.pattern = regex.compile(split["pattern"]["Regex"])
-        self.byte_chars = _byte_chars()
-        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.words = WordTable(lambda w: np.array(self._word(w), f"<u{self.width}").tobytes(), MOST_WORDS)
+        # Symbols of the plain bytes, and of the same bytes at an end.
+        plain = [b for b in range(256) if _PLAIN.fullmatch(chr(b)) and b < 0x7F] + [0xC3, *range(0x9F, 0xC0)]
+        self.inner = bytes.maketrans(bytes(plain), bytes(range(len(plain))))
+        self.last = {b: bytes([len(plain) + i]) for i, b in enumerate(plain)}
+        byte_of = {c: b for b, c in _byte_chars().items()} | {chr(b): b for b in range(256) if b not in _byte_chars()}
+        suffix, ranks = conf["model"]["end_of_word_suffix"], {}
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in conf["model"]["merges"]]
+        vocab = conf["model"]["vocab"]
+        made = [vocab["".join(m)] for m in pairs]
+        if made != sorted(made):
+            raise ValueError("merges out of the order of their ids")
+        for token, i in vocab.items():
+            ends = token.endswith(suffix) and token != suffix
+            raw = [byte_of.get(c) for c in (token[:-len(suffix)] if ends else token)]
+            if all(b in self.last for b in raw):
+                data = bytes(raw).translate(self.inner)
+                ranks[data[:-1] + self.last[raw[-1]] if ends else data] = i
+        self.free = max(vocab.values()) + 1
+        for b in range(256):  # symbols that no plain word has
+            ranks.setdefault(bytes([b]), self.free + b)
+        self.merge = tiktoken.Encoding("ranks", pat_str="x", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
 
     def _word(self, word: str) -> list[int]:
-        if not word:
-            return []
-        if "<|" in word or not _WORD.fullmatch(word):
+        low = word.lower()
+        if "<|" in word or not _PLAIN.fullmatch(low) or not _PLAIN.fullmatch(word.swapcase().lower()):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         out: list[int] = []
-        for t in self.pattern.findall(word.lower()):
-            key = t if t.isascii() else t.encode().decode("latin-1").translate(self.byte_chars)
-            out += [x.id for x in self.model.tokenize(key)]
+        for t in (low,) if low.isalpha() else self.pattern.findall(low):
+            raw = t.encode()
+            out += self.merge(raw[:-1].translate(self.inner) + self.last[raw[-1]])
         return out
 
+    def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, joined, and how many each has."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        found = lists.flatten().dictionary_encode()
+        given = self.words.get(found.dictionary.to_pylist())
+        sizes = np.array([len(x) // self.width for x in given], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(given), f"<u{self.width}")
+        at = found.indices.to_numpy()
+        n = sizes[at]
+        ids = flat[np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        total = np.concatenate(([0], np.cumsum(n)))
+        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        return ids, np.diff(total[offsets])
+
     def encode(self, text: str) -> bytes:
-        return self.words.join(_CUT.split(text))
+        return self.encode_many(pa.array([text], pa.string()))[0].tobytes()
 
 
 def _byte_chars() -> dict[int, str]:
@@ -206,14 +243,18 @@ def _writer(spec_b, end_id: int, segment_ids: int):
 
         def step(b: pa.RecordBatch):
             docs, blobs, size = [], [], 0
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                blob = enc.encode(text.as_py() or "") + end
-                if docs and size + len(blob) > segment_ids * enc.width:
-                    yield flush(docs, blobs)
-                    docs, blobs, size = [], [], 0
-                docs.append(doc)
-                blobs.append(blob)
-                size += len(blob)
+            sizes = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy() + 1
+            for lo, hi in pieces_of(sizes, BATCH_CHARS):
+                ids, counts = enc.encode_many(b.column("text")[lo:hi])
+                at = 0
+                for doc, n in zip(b.column("doc_id")[lo:hi].to_pylist(), counts.tolist()):
+                    if docs and size + n + 1 > segment_ids:
+                        yield flush(docs, blobs)
+                        docs, blobs, size = [], [], 0
+                    docs.append(doc)
+                    blobs.append(ids[at:at + n].tobytes() + end)
+                    at += n
+                    size += n + 1
             if docs:
                 yield flush(docs, blobs)
         return step
