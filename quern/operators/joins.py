@@ -4,17 +4,14 @@ Design rules:
 * every join is an equi-join on a key that spreads the data; dimension
   tables built from fixed literals or parameters are broadcast (their size
   is fixed by construction);
-* the linkage cascade (E1) resolves each tier with its own equi-join and an
-  aggregate (``min`` over a struct) instead of scoring all candidate pairs;
-  path similarity (tier 3) only meets candidate pairs that share a
-  non-empty path segment — the shared empty segment is added analytically;
+* the linkage cascade (E1) has a module of its own, ``linkage``;
 * per-link "last row wins" (E2) is ``max(struct(seq, …))`` with map-side
   combine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.dims import languages as dims
@@ -23,6 +20,7 @@ from quern.functions import quality as Q
 from quern.functions import url as U
 from quern.functions.text import py_strip
 from quern.operators.common import materialize
+from quern.operators.linkage import link_final_to_original
 
 
 # ------------------------------------------------------------------ E5 / E3
@@ -167,130 +165,6 @@ def saved_search_match(docs: DataFrame, searches: DataFrame, region: str = "regi
 
 # ------------------------------------------------------------------ E1 / E2
 
-def _url_parts(url: str, prefix: str) -> list:
-    d = U.extract_domain(F.col(url))
-    parts = F.array_distinct(F.split(F.lower(U.url_path(F.col(url))), "/"))
-    return [d.alias(f"{prefix}domain"), U.extract_main_domain(d).alias(f"{prefix}main"),
-            parts.alias(f"{prefix}parts")]
-
-
-def _prefixes(url: Column) -> Column:
-    """Every non-empty prefix of ``url`` (bounded by the URL length)."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(url), F.lit(1))), lambda i: F.substring(url, 1, i))
-
-
-def _first(df: DataFrame, name: str, key: str = "_fs") -> DataFrame:
-    """Earliest candidate per final: min over struct(ord, cand)."""
-    return df.groupBy(key).agg(F.min(F.struct("ord", "cand")).alias("w")).select(key, F.col("w.cand").alias(name))
-
-
-def link_final_to_original(finals: DataFrame, links: DataFrame, group: str = "csv",
-                           seq: str = "seq", link_seq: str = "seq") -> DataFrame:
-    """E1 — match each extracted ``final_url`` back to a link of its CSV.
-
-    ``finals``: (group, seq, original_url, final_url); ``links``: (group,
-    seq, Link).  Candidates are ``[original_url] + links in file order``;
-    the first tier that matches wins: (1) exact, (2) Google to Google,
-    (3) same domain with the best path-segment overlap (ties → earliest;
-    no overlap → earliest), (4) same main domain, (5) one is a prefix of the
-    other; no match → the own original.  Adds ``matched_link``, ``match_tier``.
-
-    No tier scores all (final, link) pairs of a CSV: tiers 1/2/4 are equi-
-    joins or per-group minima, tier 5 joins on URL prefixes, and tier 3
-    only pairs candidates that share a non-empty path segment (the shared
-    empty segment — every absolute path has one — is scored analytically).
-    """
-    lk = links.select(F.col(group), F.col(link_seq).alias("_ls"), py_strip(F.col("Link")).alias("cand"))
-    first = lk.groupBy(group, "cand").agg(F.min("_ls").alias("ord"))
-    first = first.select("*", *_url_parts("cand", "c_"))
-    # A final is named by its CSV and its place there: ``seq`` may restart in each CSV.
-    fin = finals.select(F.col(group), F.struct(F.col(group).alias("g"), F.col(seq).alias("s")).alias("_fs"),
-                        "original_url", "final_url")
-    fin = fin.select("*", *_url_parts("final_url", "f_"), *[
-        c.alias("o_" + n) for c, n in zip([U.extract_domain(F.col("original_url"))], ["domain"])])
-    fin = fin.withColumn("o_main", U.extract_main_domain(F.col("o_domain")))
-    own = fin.select("_fs", F.col("original_url").alias("cand"), F.lit(-1).cast("bigint").alias("ord"))
-    fkeys = fin.select(group, "_fs", "final_url", "f_domain", "f_main", "f_parts")
-
-    # (1) exact
-    t1 = _first(own.join(fin.select("_fs", F.col("final_url").alias("cand")), ["_fs", "cand"])
-                .unionByName(fkeys.join(first.select(group, "cand", "ord"),
-                                        (fkeys[group] == first[group]) & (fkeys["final_url"] == first["cand"]))
-                             .select("_fs", "cand", "ord")), "t1")
-
-    # (2) both Google: own original if Google, else the first Google link
-    g_first = (first.where(F.instr(F.col("cand"), "news.google.com") > 0)
-               .groupBy(group).agg(F.min(F.struct("ord", "cand")).alias("g")))
-    t2 = (fin.where(F.instr(F.col("final_url"), "news.google.com") > 0).join(g_first, group, "left")
-          .select("_fs", F.when(F.instr(F.col("original_url"), "news.google.com") > 0, F.col("original_url"))
-                  .otherwise(F.col("g.cand")).alias("t2")))
-
-    # (3) same domain
-    f_n = F.size("f_parts")
-    f_empty = F.array_contains("f_parts", "")
-    own_sim = (fin.where(F.col("o_domain") == F.col("f_domain"))
-               .select("_fs", F.col("original_url").alias("cand"), F.lit(-1).cast("bigint").alias("ord"),
-                       (F.size(F.array_intersect("f_parts", F.array_distinct(F.split(F.lower(
-                           U.url_path(F.col("original_url"))), "/"))))
-                        / F.greatest(f_n, F.size(F.array_distinct(F.split(F.lower(U.url_path(F.col("original_url"))), "/"))),
-                                     F.lit(1))).alias("sim")))
-    cpart = first.select(group, "cand", "ord", F.col("c_domain").alias("d"), F.size("c_parts").alias("c_n"),
-                         F.array_contains("c_parts", "").alias("c_empty"),
-                         F.explode("c_parts").alias("part")).where(F.col("part") != "")
-    fpart = fin.select(group, "_fs", F.col("f_domain").alias("d"), f_n.alias("f_n"), f_empty.alias("f_empty"),
-                       F.explode("f_parts").alias("part")).where(F.col("part") != "")
-    shared = (cpart.join(fpart, [group, "d", "part"])
-              .groupBy("_fs", "cand", "ord", "c_n", "c_empty", "f_n", "f_empty")
-              .agg(F.count(F.lit(1)).alias("k"))
-              .select("_fs", "cand", "ord", ((F.col("k") + (F.col("c_empty") & F.col("f_empty")).cast("int"))
-                                             / F.greatest("f_n", "c_n", F.lit(1))).alias("sim")))
-    # candidates sharing only the empty segment: per (group, domain, depth) the earliest
-    by_depth = (first.where(F.array_contains("c_parts", ""))
-                .groupBy(group, F.col("c_domain").alias("d"), F.size("c_parts").alias("c_n"))
-                .agg(F.min(F.struct("ord", "cand")).alias("w")))
-    empty_only = (fin.where(f_empty).select(group, "_fs", F.col("f_domain").alias("d"), f_n.alias("f_n"))
-                  .join(by_depth, [group, "d"])
-                  .select("_fs", F.col("w.cand").alias("cand"), F.col("w.ord").alias("ord"),
-                          (F.lit(1) / F.greatest("f_n", "c_n", F.lit(1))).alias("sim")))
-    # domain matches with no overlap: the earliest link of the domain
-    dom_first = (first.groupBy(group, F.col("c_domain").alias("d")).agg(F.min(F.struct("ord", "cand")).alias("w")))
-    zero = (fin.select(group, "_fs", F.col("f_domain").alias("d")).join(dom_first, [group, "d"])
-            .select("_fs", F.col("w.cand").alias("cand"), F.col("w.ord").alias("ord"), F.lit(0.0).alias("sim")))
-    t3 = (own_sim.unionByName(shared).unionByName(empty_only).unionByName(zero)
-          .groupBy("_fs").agg(F.min(F.struct(F.when(F.col("sim") > 0, -F.col("sim")).otherwise(F.lit(0.0)).alias("s"),
-                                             "ord", "cand")).alias("w"))
-          .select("_fs", F.col("w.cand").alias("t3")))
-
-    # (4) same main domain
-    main_first = first.groupBy(group, F.col("c_main").alias("m")).agg(F.min(F.struct("ord", "cand")).alias("w"))
-    t4 = _first(fin.where(F.col("o_main") == F.col("f_main"))
-                .select("_fs", F.col("original_url").alias("cand"), F.lit(-1).cast("bigint").alias("ord"))
-                .unionByName(fin.select(group, "_fs", F.col("f_main").alias("m")).join(main_first, [group, "m"])
-                             .select("_fs", F.col("w.cand").alias("cand"), F.col("w.ord").alias("ord"))), "t4")
-
-    # (5) prefix either way — equi-joins on the prefixes of one side
-    fp = fin.select(group, "_fs", "final_url", F.explode(_prefixes(F.col("final_url"))).alias("cand"))
-    link_pref = first.select(group, "cand", "ord", F.explode(_prefixes(F.col("cand"))).alias("p"))
-    own_pref = (fin.where(F.col("final_url").startswith(F.col("original_url"))
-                          | F.col("original_url").startswith(F.col("final_url")))
-                .select("_fs", F.col("original_url").alias("cand"), F.lit(-1).cast("bigint").alias("ord")))
-    t5 = _first(own_pref
-                .unionByName(fp.join(first.select(group, "cand", "ord"), [group, "cand"]).select("_fs", "cand", "ord"))
-                .unionByName(fin.select(group, "_fs", F.col("final_url").alias("p")).join(link_pref, [group, "p"])
-                             .select("_fs", "cand", "ord")), "t5")
-
-    res = fin.select(group, "_fs", "original_url", "final_url")
-    for t in (t1, t2, t3, t4, t5):
-        res = res.join(t, "_fs", "left")
-    empty_final = F.col("final_url").isNull() | (F.col("final_url") == "")
-    tier = (F.when(empty_final, F.lit(0)).when(F.col("t1").isNotNull(), 1).when(F.col("t2").isNotNull(), 2)
-            .when(F.col("t3").isNotNull(), 3).when(F.col("t4").isNotNull(), 4)
-            .when(F.col("t5").isNotNull(), 5).otherwise(F.lit(0)))
-    matched = F.coalesce(F.when(~empty_final, F.coalesce("t1", "t2", "t3", "t4", "t5")), F.col("original_url"))
-    return res.select(F.col(group), F.col("_fs.s").alias(seq), "original_url", "final_url",
-                      matched.alias("matched_link"), tier.alias("match_tier"))
-
-
 def enrich_metadata(matched: DataFrame, links: DataFrame, group: str = "csv",
                     link_seq: str = "seq", extracted_title: str | None = None) -> DataFrame:
     """E2 — attach the CSV row of the matched link (a repeated Link: last row
