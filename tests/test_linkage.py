@@ -81,7 +81,7 @@ def test_cascade_equals_the_loop(spark):
     for csv in range(6):
         files[csv] = [rng.choice([url(), url(), "https://x", "http"]) for _ in range(rng.choice([0, 3, 25]))]
         links += [(csv, i * 2, f" {u} " if i % 4 == 0 else u) for i, u in enumerate(files[csv])] + [(csv, 99, None)]
-        for i in range(25):
+        for i in range(80):
             final = rng.choice([url(), rng.choice(files[csv] or [""]), "https://x.ne", "https://unknown.host/p", "https://m.example", "", None])
             finals.append((csv, i, rng.choice([url(), "https://nowhere.info/a"]), final))
     got = L.link_final_to_original(spark.createDataFrame(finals, "csv int, seq int, original_url string, final_url string"),
