@@ -152,6 +152,37 @@ def relevance_by_language(spark, sf):
         "doc_id", F.size(R.term_hits("text", F.col("terms"))).cast("bigint").alias("n_hits"))
 
 
+# Lists whose terms overlap, repeat and hold one another, beside the builtin ones.
+OVERLAPPING = {"en": ["thing", "hin", "thin", "the", "ing", "the", "of the"], "fr": ["tion", "ion", "ment", "É"], "de": ["ung", "un", "sch", "ch"]}
+
+
+def _all_lists() -> dict[str, list[str]]:
+    from quern.dims.languages import REGIONAL_TERMS
+    return {"en": ENGLISH_TERMS, **REGIONAL_TERMS, **OVERLAPPING}
+
+
+def _all_lists_sql() -> str:
+    rows = ", ".join(f"({O.lit(k)}, {O.lst(v)})" for k, v in _all_lists().items())
+    found = lambda phrases: f"len(list_filter({phrases}, lambda p: contains(low, lower(p))))"
+    return f"""WITH t AS (SELECT * FROM (VALUES {rows}) AS t(lang, terms)),
+      d AS (SELECT doc_id, text, lower(coalesce(text, '')) AS low, coalesce(t.terms, (SELECT terms FROM t WHERE lang = 'en')) AS terms
+            FROM documents d LEFT JOIN t ON d.lang = t.lang),
+      h AS (SELECT doc_id, text, list_filter(terms, lambda x: contains(low, lower(x))) AS hits,
+                   {found(O.lst(DOC_IRRELEVANT))} AS bad, {found(O.lst(DOC_CONTEXT))} AS good FROM d),
+      r AS (SELECT doc_id, array_to_string(hits, '|') AS hits, CASE WHEN text IS NULL OR text = '' THEN 'empty' WHEN len(hits) = 0 THEN 'none'
+                   WHEN bad > 2 THEN 'irrelevant' WHEN len(hits) >= 2 THEN 'multi' WHEN good >= 1 THEN 'single_context'
+                   ELSE 'single_no_context' END AS reason FROM h)
+      SELECT doc_id, hits, reason, reason IN ('multi', 'single_context') AS relevant FROM r"""
+
+
+@register("relevance_all_lists", _all_lists_sql(), "B5/C15/E5 (all lists, one reading)")
+def relevance_all_lists(spark, sf):
+    from quern.operators import patterns
+    d = docs(spark, sf).select("doc_id", "lang", "text")
+    x = patterns.relevance_by_list(d, _all_lists(), irrelevant=DOC_IRRELEVANT, context=DOC_CONTEXT)
+    return x.select("doc_id", F.array_join("hits", "|").alias("hits"), "reason", "relevant")
+
+
 # ------------------------------------------------------------------ filters B8 / B9
 
 @register("min_text", "SELECT doc_id FROM documents WHERE length(text) > 200", "B8")

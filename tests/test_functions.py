@@ -129,3 +129,22 @@ def test_ist_shift_ignores_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert got == ["2024-03-10 08:00:00", "2024-03-06 01:30:00", "2024-11-03 07:00:00", rows[3], "x"]
+
+
+def test_one_reading_finds_what_instr_finds(spark):
+    """Terms inside terms, repeats, signs, other scripts, nulls; every rule as one phrase at a time."""
+    from quern.operators import patterns
+    lists = {"en": ["he", "she", "hers", "her", "he", "x y", "", "É"], "hi": ["बाढ़", "बा"], "none": []}
+    bad, good = ["film", "fil", "lm", "i"], ["city", "it"]
+    texts = ["ushers", "HERS and the Film", "x  y x y", "", None, "बाढ़ city", "é", "fil lm it", "nothing fits", "she film"]
+    rows = [(i, lang, t) for i, (lang, t) in enumerate((lang, t) for lang in ("en", "hi", "none", "zz", None) for t in texts)]
+    df = spark.createDataFrame(rows, "id int, lang string, text string").repartition(3)
+    got = {r["id"]: r for r in patterns.relevance_by_list(df, lists, irrelevant=bad, context=good).collect()}
+    for lang, terms in [*lists.items(), ("zz", lists["en"]), (None, lists["en"])]:
+        part = df.where(F.col("lang").eqNullSafe(F.lit(lang)))
+        want = part.select("id", R.term_hits("text", terms).alias("hits"), R.is_relevant("text", terms, bad, good).alias("relevant"),
+                           R.relevance_reason("text", terms, bad, good).alias("reason")).collect()
+        assert want
+        for w in want:
+            g = got[w["id"]]
+            assert (g["hits"], g["relevant"], g["reason"]) == (w["hits"], w["relevant"], w["reason"]), (lang, w, g)
