@@ -50,6 +50,31 @@ def link_tree_roundtrip(spark, sf):
     return back.select("Link", "region", "run_date")
 
 
+@register("link_tree_read",
+          f"""SELECT link AS "Link", title AS "Title", summary AS "Summary", region, run_date FROM (SELECT link, title, summary, article_date AS run_date,
+                {'[' + ', '.join(repr(r) for r in REGIONS) + ']'}[CAST(seq % {len(REGIONS)} AS INTEGER) + 1] AS region
+              FROM {KEPT_SQL}) WHERE run_date BETWEEN DATE '2000-12-25' AND DATE '2000-12-31'""", "A1/A2")
+def link_tree_read(spark, sf):
+    """The region/day tree of ``results.csv`` files, laid out as the collector does, read back whole."""
+    d = B.strict_date_filter(A.dated_links(spark, sf), START, END).where(F.col("article_date").between("2000-12-25", "2000-12-31"))
+    arr = F.array(*[F.lit(r) for r in REGIONS])
+    rows = d.select(F.col("title").alias("Title"), F.col("link").alias("Link"), F.col("summary").alias("Summary"),
+                    F.try_element_at(arr, (F.col("seq") % len(REGIONS)).cast("int") + 1).alias("region"), F.col("article_date").alias("run_date"))
+    root = _scratch(spark, "tree")
+    (rows.repartition("region", "run_date").write.partitionBy("region", "run_date").option("header", True).option("escape", '"').csv(f"{root}/flat"))
+    # The tree's file names: one file a region and day, moved to its place.
+    fs, p = io._fs(spark, f"{root}/flat/region=*/run_date=*/part-*.csv")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for st in fs.globStatus(p) or []:
+        region, day = (x.split("=")[1] for x in st.getPath().toString().split("/")[-3:-1])
+        kind = "states" if region in dims.STATES else "union-territories"
+        folder = path(f"{root}/tree/{kind}/{region}/Monsoon/{day.replace('-', '/')}")
+        fs.mkdirs(folder)
+        fs.rename(st.getPath(), path(folder, "results.csv"))
+    back = io.links_for_dates(io.read_links(spark, f"{root}/tree"), "2000-12-31", 6)
+    return back.select("Link", "Title", "Summary", "region", "run_date")
+
+
 @register("articles_roundtrip",
           _final_sql("SELECT extraction_quality, count(*) AS n FROM f WHERE extraction_quality IN ('high', 'medium') "
                      "GROUP BY 1"), "A4/A7/B9")
@@ -102,6 +127,8 @@ def write_links_range(spark, sf):
                     F.lit("").alias("Source"), F.col("summary").alias("Summary"), F.lit("Monsoon").alias("Term"),
                     F.lit("en").alias("LanguageQueried"), F.lit("states").alias("region_type"), F.lit("assam").alias("region"),
                     F.lit("Monsoon").alias("disaster_type"))
+    # The function takes the rows of one run; those of the range are taken here.
+    rows = rows.where(F.try_to_date(F.substring("Date", 1, 10), "yyyy-MM-dd").between("2000-12-01", "2000-12-31"))
     root = _scratch(spark, "range")
     for _ in range(2):
         io.replace_links(rows, root, "2000-12-01", "2000-12-31")

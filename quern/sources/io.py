@@ -9,16 +9,16 @@ partition pruning.  Articles and run statistics are JSON.
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.session import cut_lineage
-
 LINK_COLUMNS = ["Title", "Link", "Date", "Source", "Summary", "Term", "LanguageQueried"]
 LINK_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in LINK_COLUMNS])
-#: Columns of a link file beyond this number aren't looked at (the format has seven).
-MAX_COLUMNS = 24
 PATH_RE = r"/([^/]+)/([^/]+)/([^/]+)/(\d{4})/(\d{2})/(\d{2})/results\.csv$"
 
 OTHER_INFO = T.StructType([T.StructField(c, T.StringType()) for c in
@@ -68,32 +68,66 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _link_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row a ``results.csv``: file, width (cells of its header), reason (why it can't be read, or null)."""
+    whole = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "results.csv").text(root, wholetext=True)
+             .select(F.col("_metadata.file_path").alias("file"), "value"))
+    head = F.split(F.regexp_replace(F.split_part("value", F.lit("\n"), F.lit(1)), "\r$", ""), ",")
+    names = F.transform(head, lambda c: F.btrim(c, F.lit('"\ufeff')))
+    return whole.select("file", F.size(head).alias("width"), (
+        F.when(~F.is_valid_utf8("value"), "not UTF-8")
+        .when(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1, "unclosed quote")
+        .when(~F.array_contains(names, "Link"), "no Link column")).alias("reason"))
+
+
+def _link_cells(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """file, _row, _cells of the readable files, as wide as the widest header and a cell more."""
+    width = (files.where("reason IS NULL").agg(F.max("width")).first()[0] or 0) + 1
+    raw = (spark.read.option("header", False).option("multiLine", True).option("escape", '"')
+           .option("recursiveFileLookup", True).option("pathGlobFilter", "results.csv")
+           .schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])).csv(root))
+    raw = raw.select(F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("_cells"), F.col("_metadata.file_path").alias("file"),
+                     F.monotonically_increasing_id().alias("_row"))
+    raw = raw.join(files.where("reason IS NULL").select("file"), "file", "left_semi")
+    # a CSV with multi-line rows isn't split, so a file's rows are numbered in one task; its header is the first
+    head = raw.groupBy("file").agg(F.min_by("_cells", "_row").alias("_head"), F.min("_row").alias("_first"))
+    x = raw.join(head, "file").where(F.col("_row") > F.col("_first"))
+    return x.withColumn("_over", F.exists(F.slice("_cells", F.size(F.array_compact("_head")) + 1, width), lambda c: c.isNotNull()))
+
+
+def link_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """A1 — the files that ``read_links`` leaves out, as a reader that gives up on a damaged file does: (file, reason).
+
+    ``not UTF-8``, ``unclosed quote`` (also of a truncated file), ``no Link
+    column``, ``more cells than the header``. Trailing empty cells are none.
+    """
+    if not _exists(spark, root):
+        return spark.createDataFrame([], "file string, reason string")
+    files = _link_files(spark, root)
+    over = _link_cells(spark, root, files).where("_over").select("file").distinct().withColumn("reason", F.lit("more cells than the header"))
+    return files.where("reason IS NOT NULL").select("file", "reason").unionByName(over)
+
+
 def read_links(spark: SparkSession, root: str) -> DataFrame:
     """A1 — every ``results.csv`` of the region/day tree, with the partition
     columns parsed from the path and ``seq``, the struct (file, row in file).
 
-    Columns are found by the name in each file's header, whatever their
-    order; a file without a ``Link`` column is left out, as the reference
-    does.  ``escape='"'`` is required: summaries hold doubled quotes.
+    Columns are found by the name in each file's header, whatever their order
+    and number.  A damaged file, or one without a ``Link`` column, is left out
+    whole, as the reference does; ``link_rejects`` names them.
+    ``escape='"'`` is required: summaries hold doubled quotes.
     """
     if not _exists(spark, root):
         return spark.createDataFrame([], LINK_SCHEMA).select(
             "*", *[F.lit(None).cast("string").alias(c) for c in ("region_type", "region", "disaster_type", "file")],
             F.lit(None).cast("date").alias("run_date"), F.lit(None).cast("struct<file:string,row:bigint>").alias("seq"))
-    raw = (spark.read.option("header", False).option("multiLine", True).option("escape", '"')
-           .option("recursiveFileLookup", True).option("pathGlobFilter", "results.csv")
-           .schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(MAX_COLUMNS)])).csv(root))
-    path = F.col("_metadata.file_path")
-    raw = raw.select("*", path.alias("file"), F.col("_metadata.file_block_start").alias("_at"),
-                     F.monotonically_increasing_id().alias("_row"))
-    cells = F.array(*[F.col(f"_c{i}") for i in range(MAX_COLUMNS)])
-    # a CSV with multi-line rows isn't split, so a file's rows are numbered in one task; its header is the first
-    head = raw.groupBy("file").agg(F.min_by(cells, "_row").alias("_head"), F.min("_row").alias("_first"))
-    head = head.where(F.array_contains("_head", "Link"))
-    df = raw.withColumn("_cells", cells).join(head, "file").where(F.col("_row") > F.col("_first"))
-    value = lambda c: F.try_element_at("_cells", F.nullif(F.array_position("_head", c), F.lit(0)).cast("int"))
-    df = df.select(*[value(c).alias(c) for c in LINK_COLUMNS], "file",
-                   F.struct("file", (F.col("_row") - F.col("_first")).alias("row")).alias("seq"))
+    x = _link_cells(spark, root, _link_files(spark, root))
+    over = x.where("_over").select("file").distinct()
+    x = x.join(over, "file", "left_anti")
+    names = F.transform("_head", lambda c: F.btrim(c, F.lit("\ufeff")))
+    value = lambda c: F.try_element_at("_cells", F.nullif(F.array_position(names, c), F.lit(0)).cast("int"))
+    df = x.select(*[value(c).alias(c) for c in LINK_COLUMNS], "file",
+                  F.struct("file", (F.col("_row") - F.col("_first")).alias("row")).alias("seq"))
     g = lambda i: F.regexp_extract("file", PATH_RE, i)
     out = df.select("*", g(1).alias("region_type"), g(2).alias("region"), g(3).alias("disaster_type"),
                     F.try_to_date(F.concat_ws("-", g(4), g(5), g(6)), "yyyy-MM-dd").alias("run_date"))
@@ -143,32 +177,119 @@ def clear_link_range(spark: SparkSession, root: str, start: str, end: str, regio
     return removed
 
 
+# A published link table: ``_versions/<n>.json`` lists its folders, the newest
+# file counts.  Folders of a write that was never published are not listed.
+VERSIONS, ATTEMPTS = "_versions", "_attempts"
+FOLDER_RE = r"region_type=([^/]+)/region=([^/]+)/disaster_type=([^/]+)/run_date=([^/]+)"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _folders(spark: SparkSession, root: str, under: str = "") -> list[str]:
+    """The region/day folders under ``root``, relative to it."""
+    base = f"{root}/{under}" if under else root
+    fs, p = _fs(spark, f"{base}/region_type=*/region=*/disaster_type=*/run_date=*")
+    tail = lambda st: "/".join(st.getPath().toString().split("/")[-4:])
+    return [f"{under}/{tail(st)}" if under else tail(st) for st in fs.globStatus(p) or []]
+
+
+def published_links(spark: SparkSession, root: str) -> tuple[int, list[str]]:
+    """(version, folders) of the link table; version 0 is a table that no commit has published yet: all its folders."""
+    fs, p = _fs(spark, f"{root}/{VERSIONS}/*.json")
+    names = sorted(st.getPath().getName() for st in fs.globStatus(p) or [])
+    if not names:
+        return 0, _folders(spark, root)
+    lines = spark.read.text(f"{root}/{VERSIONS}/{names[-1]}").collect()  # one folder a line
+    return int(names[-1].removesuffix(".json")), [json.loads(r["value"])["folder"] for r in lines]
+
+
+def _publish(spark: SparkSession, root: str, version: int, folders: list[str]) -> None:
+    """Make ``folders`` the table, in one rename; a version that another writer has published is an error."""
+    fs, target = _fs(spark, f"{root}/{VERSIONS}/{version:012d}.json")
+    _, draft = _fs(spark, f"{root}/{VERSIONS}/.{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray("".join(json.dumps({"folder": f}) + "\n" for f in folders), "utf-8"))
+    out.close()
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise RuntimeError(f"version {version} of {root} has been published by another writer")
+
+
 def replace_links(df: DataFrame, root: str, start: str, end: str, region: str | None = None, fmt: str = "csv") -> int:
-    """A3 — the whole write: the days [start, end] are cleared, and the rows whose
-    ``Date`` lies in them are written under the end date, each link once
-    (the first by ``seq``).  No such row: nothing is cleared or written.
+    """A3 — the whole write: each link once (the first by ``seq``), then the
+    rows whose ``Date`` lies in [start, end], under the end date, in place of
+    those days (of one region or all).  No such row: nothing changes.
+
+    Repeated links go first, as in the reference: a link whose first copy has
+    no date is not written.  The reference would also write dated rows outside
+    the range, which its collection has filtered out before.  New folders are written
+    first, under a name of this attempt, and become the table together with
+    the removal of the old ones by one new version file, so a reader sees the
+    old days or the new, and a writer that stops in between changes nothing.
+    ``drop_unpublished`` removes folders that no version lists any more.
 
     Returns the number of links written.
     """
-    day = F.try_to_date(F.substring("Date", 1, 10), "yyyy-MM-dd")
-    rows = df.where(day.between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
-    payload = [c for c in rows.columns if c not in ("seq", "run_date")]
-    once = (rows.groupBy("region_type", "region", "disaster_type", "Link")
+    spark = df.sparkSession
+    payload = [c for c in df.columns if c not in ("seq", "run_date")]
+    once = (df.groupBy("region_type", "region", "disaster_type", "Link")
             .agg(F.min(F.struct("seq", *[c for c in payload if c not in LINK_KEYS and c != "Link"])).alias("_r"))
             .select("region_type", "region", "disaster_type", "Link", "_r.*").drop("seq"))
-    out = cut_lineage(once.select(*payload, F.to_date(F.lit(end)).alias("run_date")))
-    n = out.count()
-    if n:
-        clear_link_range(df.sparkSession, root, start, end, region)
-        write_links(out, root, fmt)
+    dated = once.where(F.try_to_date(F.substring("Date", 1, 10), "yyyy-MM-dd").between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
+    version, live = published_links(spark, root)
+    attempt = f"{ATTEMPTS}/{uuid.uuid4().hex}"
+    write_links(dated.select(*payload, F.to_date(F.lit(end)).alias("run_date")), f"{root}/{attempt}", fmt)
+    added = _folders(spark, root, attempt)
+    if not added:
+        return 0
+    n = _read_folders(spark, root, added, fmt).count()
+
+    def replaced(folder: str) -> bool:
+        _, reg, _, day = re.search(FOLDER_RE, folder).groups()
+        return start <= day <= end and region in (None, reg)
+    _publish(spark, root, version + 1, [f for f in live if not replaced(f)] + added)
     return n
 
 
-def read_links_hive(spark: SparkSession, root: str, fmt: str = "csv") -> DataFrame:
-    """Read the Hive-partitioned link table written by ``write_links``."""
+def drop_unpublished(spark: SparkSession, root: str) -> int:
+    """Delete the folders that the newest version doesn't list; returns how many.  Not while a writer or an older reader runs."""
+    version, live = published_links(spark, root)
+    if not version:
+        return 0
+    fs, p = _fs(spark, f"{root}/{ATTEMPTS}/*")
+    every = _folders(spark, root) + [f for st in fs.globStatus(p) or [] for f in _folders(spark, root, f"{ATTEMPTS}/{st.getPath().getName()}")]
+    gone = [f for f in every if f not in set(live)]
+    for f in gone:
+        fs.delete(_fs(spark, f"{root}/{f}")[1], True)
+    return len(gone)
+
+
+def _read_folders(spark: SparkSession, root: str, folders: list[str], fmt: str) -> DataFrame:
     r = spark.read.format(fmt).option("header", True).option("escape", '"').option("multiLine", True)
-    df = r.load(root)
-    return df.withColumn("run_date", F.col("run_date").cast("date"))
+    df = r.load([f"{root}/{f}" for f in folders]).withColumn("_path", F.col("_metadata.file_path"))
+    keys = [F.regexp_extract("_path", FOLDER_RE, i + 1).alias(k) for i, k in enumerate(LINK_KEYS)]
+    df = df.select("*", *[F.nullif(c, F.lit("__HIVE_DEFAULT_PARTITION__")).alias(k) for c, k in zip(keys, LINK_KEYS)])
+    return df.drop("_path").withColumn("run_date", F.col("run_date").cast("date"))
+
+
+def read_links_hive(spark: SparkSession, root: str, fmt: str = "csv", start: str | None = None, end: str | None = None) -> DataFrame:
+    """The link table written by ``write_links`` or ``replace_links``.
+
+    A published table is read by its newest version, and of it only the
+    folders of the days [start, end] where they are given.
+    """
+    version, folders = published_links(spark, root)
+    day = lambda f: re.search(FOLDER_RE, f).group(4)
+    if version and folders:
+        df = _read_folders(spark, root, [f for f in folders if (start or "") <= day(f) <= (end or "9999")] or folders[:1], fmt)
+    else:
+        r = spark.read.format(fmt).option("header", True).option("escape", '"').option("multiLine", True)
+        df = r.load(root)
+        df = df.withColumn("run_date", F.col("run_date").cast("date"))
+    return df.where(F.col("run_date").between(start or "0001-01-01", end or "9999-12-31")) if start or end else df
 
 
 def write_articles(df: DataFrame, root: str, extraction_date: str) -> None:

@@ -4,6 +4,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from quern.sources import io
 
 ROW = ('"Heavy rain lashes city","https://news.google.com/rss/articles/CBMiAbC?oc=5","2025-09-02 10:30:00",'
@@ -131,3 +133,70 @@ def test_read_feed_xml(spark):
     rows = sorted((r.title, r.summary, r.source_title, r.published) for r in io.read_feed(spark, path, "xml").collect())
     assert rows == [("Flood", "", "", "Wed, 06 Mar 2024 01:00:00 GMT"),
                     ("Heavy rain", "d1", "Daily A", "Tue, 05 Mar 2024 20:00:00 GMT")]
+
+
+# --- damaged link files (A1) and published replacement (A3) -----------------
+
+def _put(root, region, data, day="2025/09/01"):
+    d = os.path.join(root, "states", region, "Monsoon", day)
+    os.makedirs(d)
+    with open(os.path.join(d, "results.csv"), "wb") as f:
+        f.write(data)
+
+
+def test_damaged_files_are_left_out_and_named(spark):
+    root = tempfile.mkdtemp(prefix="quern-damaged-")
+    wide = [f"c{i}" for i in range(29)] + ["Link"]
+    _put(root, "assam", b'Title,Link,Summary\na,https://x/1,"two\nlines, ""quoted"""\nb,https://x/2\n')
+    _put(root, "bihar", (",".join(wide) + "\n" + ",".join(["v"] * 29 + ["https://x/30"]) + "\n").encode())
+    _put(root, "goa", b"\xef\xbb\xbfLink,Title\r\nhttps://x/bom,t,,\r\n")                    # byte order mark, empty cells over
+    _put(root, "kerala", b'Title,Link\na,"https://x/3\nb,https://x/4\n')                      # a broken quote
+    _put(root, "punjab", b'Title,Link,Summary\na,https://x/5,"cut in the mid')                 # truncated
+    _put(root, "odisha", b"Title,Url\na,https://x/6\n")
+    _put(root, "sikkim", b"Title,Link\na,https://x/7\nb,https://x/8,third\n")
+    _put(root, "tripura", b"Title,Link\n\xff\xfe,https://x/9\n")
+    _put(root, "manipur", b"")
+    got = {(r["region"], r["Link"]) for r in io.read_links(spark, root).collect()}
+    assert got == {("assam", "https://x/1"), ("assam", "https://x/2"), ("bihar", "https://x/30"), ("goa", "https://x/bom")}
+    why = {r["file"].split("/states/")[1].split("/")[0]: r["reason"] for r in io.link_rejects(spark, root).collect()}
+    why.pop("manipur", None)
+    assert why == {"kerala": "unclosed quote", "punjab": "unclosed quote", "odisha": "no Link column",
+                   "sikkim": "more cells than the header", "tripura": "not UTF-8"}
+
+
+def _day_rows(spark, links, day="2025-09-01 10:00:00"):
+    rows = [(i, link, "t", d, "states", "assam", "Monsoon") for i, (link, d) in enumerate((x if isinstance(x, tuple) else (x, day)) for x in links)]
+    return spark.createDataFrame(rows, "seq int, Link string, Title string, Date string, region_type string, region string, disaster_type string")
+
+
+def test_a_writer_that_stops_leaves_the_old_days(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="quern-atomic-")
+    read = lambda **o: sorted((r["Link"], str(r["run_date"])) for r in io.read_links_hive(spark, root, **o).collect())
+    assert io.replace_links(_day_rows(spark, ["a", "b"]), root, "2025-09-01", "2025-09-01") == 2
+    assert io.replace_links(_day_rows(spark, ["far"], "2025-10-05 00:00:00"), root, "2025-10-05", "2025-10-05") == 1
+    before = read()
+
+    def stop(*args):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(io, "_publish", stop)
+        with pytest.raises(OSError):
+            io.replace_links(_day_rows(spark, ["c"]), root, "2025-09-01", "2025-09-01")
+    assert read() == before == [("a", "2025-09-01"), ("b", "2025-09-01"), ("far", "2025-10-05")]
+    assert io.replace_links(_day_rows(spark, ["c"]), root, "2025-09-01", "2025-09-02") == 1
+    assert read() == [("c", "2025-09-02"), ("far", "2025-10-05")]
+    assert read(start="2025-10-01", end="2025-10-31") == [("far", "2025-10-05")] and read(end="2025-01-01") == []
+    assert io.drop_unpublished(spark, root) == 2 and read() == [("c", "2025-09-02"), ("far", "2025-10-05")]
+    # Two writers on one version: the second is told.
+    version, live = io.published_links(spark, root)
+    io._publish(spark, root, version + 1, live)
+    with pytest.raises(RuntimeError):
+        io._publish(spark, root, version + 1, [])
+    assert read() == [("c", "2025-09-02"), ("far", "2025-10-05")]
+
+
+def test_repeated_links_go_before_bad_dates(spark):
+    root = tempfile.mkdtemp(prefix="quern-order-")
+    rows = _day_rows(spark, [("x", "no date"), ("x", "2025-09-01 10:00:00"), ("y", "2025-09-01 10:00:00"), ("y", None)])
+    assert io.replace_links(rows, root, "2025-09-01", "2025-09-01") == 1
+    assert [r["Link"] for r in io.read_links_hive(spark, root).collect()] == ["y"]
