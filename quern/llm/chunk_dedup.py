@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from quern.llm.common import shared_table
+from quern.llm.common import free_name, shared_table
 
 #: Least and largest chunk in characters, and the cut rule: one character of
 #: each class in a row. Over letters each class holds about a third.
@@ -108,10 +108,12 @@ def keep_last(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Whole rows of ``df`` that stay: of equal texts, the one with the largest id."""
     stay = (groups(df, id_col, text_col).filter("kept")
             .select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha")))
-    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    hit = df.withColumn("_sha2", sha).join(
-        stay, F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_sha2") == F.col("_sha")), "left_semi")
-    return hit.dropDuplicates([id_col, "_sha2"]).drop("_sha2")
+    sha = free_name(df, "_sha2")
+    hit = df.withColumn(sha, F.sha2(F.coalesce(df[text_col], F.lit("")), 256))
+    keep, same = free_name(hit, "_keep"), free_name(hit, "_sha")
+    stay = stay.toDF(keep, same)
+    hit = hit.join(stay, hit[id_col].eqNullSafe(stay[keep]) & (hit[sha] == stay[same]), "left_semi")
+    return hit.dropDuplicates([id_col, sha]).drop(sha)
 
 
 ORACLE = """

@@ -41,6 +41,14 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` has it (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def same_text(df: DataFrame, text_col: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(df[text_col], F.lit(""))

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import shared_table
+from quern.llm.common import free_name, shared_table
 
 MOST = 3
 
@@ -104,8 +104,8 @@ def position(share: Column, schedule: Column, schedules=SCHEDULES) -> Column:
 
 
 def assign(df: DataFrame, most: int = MOST, weights: tuple[int, ...] = (1, 2, 3), schedules=SCHEDULES,
-           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``df`` plus ``mix``: size, source_size, target, taken and visits (position, words) of each row."""
+           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", out: str = "mix") -> DataFrame:
+    """``df`` plus the struct ``out`` (``mix``): size, source_size, target, taken and visits (position, words) of each row."""
     own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(source_col).alias("source"),
                     words(F.col(text_col)).alias("size"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
     sizes = shared_table(targets(
@@ -131,7 +131,7 @@ def assign(df: DataFrame, most: int = MOST, weights: tuple[int, ...] = (1, 2, 3)
         visit(v).cast("long").alias("words")) for v in range(most)]), lambda s: s["words"] > 0)
     x = x.withColumn("visits", visits)
     taken = F.aggregate("visits", F.lit(0).cast("long"), lambda a, s: a + s["words"])
-    return x.select("row.*", F.struct("size", "source_size", "target", taken.alias("taken"), "visits").alias("mix"))
+    return x.select("row.*", F.struct("size", "source_size", "target", taken.alias("taken"), "visits").alias(out))
 
 
 def curriculum(df: DataFrame, partitions: int | None = None, **options) -> DataFrame:
@@ -139,11 +139,12 @@ def curriculum(df: DataFrame, partitions: int | None = None, **options) -> DataF
 
     A document read twice or three times stands there as often.
     """
-    rows = assign(df, **options)
+    mix, visit = free_name(df, "mix"), free_name(df, "_visit")
+    rows = assign(df, **options, out=mix)
     cols = [F.col(f"`{c}`") for c in df.columns]
-    rows = rows.select(*cols, F.explode("mix.visits").alias("_visit"))
+    rows = rows.select(*cols, F.explode(f"{mix}.visits").alias(visit))
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(parts, F.col("_visit.position")).sortWithinPartitions("_visit.position").select(*cols)
+    return rows.repartitionByRange(parts, F.col(f"{visit}.position")).sortWithinPartitions(f"{visit}.position").select(*cols)
 
 
 def digest(assigned: DataFrame, partitions: int | None = None) -> DataFrame:

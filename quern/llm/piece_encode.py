@@ -35,6 +35,8 @@ MARK = "▁"  # stands for a space
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 #: Words and piece pairs a worker remembers before it starts afresh.
 MOST_WORDS, MOST_PAIRS = 700_000, 400_000
+#: Characters of a word that is kept, at most: memory is bounded in bytes.
+LONG = 64
 
 
 def model_bytes(path: str) -> bytes:
@@ -170,9 +172,11 @@ def encode(text: str, model: bytes) -> np.ndarray:
     words = words_of(text)
     if len(seen) > MOST_WORDS:
         seen.clear()
+    long: dict[str, bytes] = {}  # whole texts without a blank, in some scripts: not kept
     for w in set(words).difference(seen):
-        seen[w] = np.array(enc.ids(w), np.int32).tobytes()
-    return np.frombuffer(b"".join(map(seen.__getitem__, words)), np.int32)
+        (seen if len(w) <= LONG else long)[w] = np.array(enc.ids(w), np.int32).tobytes()
+    find = seen.__getitem__ if not long else lambda w: long[w] if w in long else seen[w]
+    return np.frombuffer(b"".join(map(find, words)), np.int32)
 
 
 def _step(model_b):
@@ -202,9 +206,9 @@ def encode_table(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     return map_arrow(d, _step(model_b), f"doc_id {kind}, ids array<int>, decoded string")
 
 
-def digest(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of :func:`encode_table`."""
+def digest(encoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of :func:`encode_table`, and ``more`` of its columns."""
     return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more)
