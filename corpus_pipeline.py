@@ -50,10 +50,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of every document, and the digest of their decoded text."""
+    """The training rows: the ids of every document, and digests of them and of their decoded text."""
     import public_tokenizers
     rows = piece_encode.encode_table(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return piece_encode.digest(rows)
+    return piece_encode.digest(rows, "ids")
 
 
 STAGES = [
