@@ -32,6 +32,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once a row, however often ``use`` names it.
+
+    Projections are merged by copying expressions, and branches of a
+    condition share nothing; the only element of an array is made once.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def py_strip(s) -> Column:
     """``str.strip()``: drop leading/trailing Unicode whitespace."""
     return F.btrim(_c(s), F.lit(WS_CHARS))
@@ -66,12 +75,13 @@ def content_fingerprint(text) -> Column:
     lower-cased, whitespace-collapsed text; null for texts under 100 chars.
     """
     t = _c(text)
-    clean = collapse_ws(F.lower(t))
-    n = F.length(clean)
-    tail = F.when(n > 200, F.substring(clean, -200, 200)).otherwise(F.lit(""))
-    fp = F.md5(F.concat(F.substring(clean, 1, 500), F.lit("||"), tail, F.lit("||"),
-                        F.floor(n / 100).cast("bigint").cast("string")))
-    return F.when(t.isNull() | (F.length(t) < 100), F.lit(None).cast("string")).otherwise(fp)
+
+    def digest(clean):
+        n = F.length(clean)
+        tail = F.when(n > 200, F.substring(clean, -200, 200)).otherwise(F.lit(""))
+        return F.md5(F.concat(F.substring(clean, 1, 500), F.lit("||"), tail, F.lit("||"),
+                              F.floor(n / 100).cast("bigint").cast("string")))
+    return F.when(t.isNull() | (F.length(t) < 100), F.lit(None).cast("string")).otherwise(once(collapse_ws(F.lower(t)), digest))
 
 
 def title_words(title) -> Column:

@@ -27,6 +27,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from quern.operators.common import materialize
 from quern.operators.ranking import rank_in_group
 
 from quern.functions import quality as Q
@@ -88,7 +90,8 @@ def keep_faithful(df: DataFrame, key: str, rank: str = "q", count_as: str = "n_i
 
 
 def dedup_keys(articles: DataFrame, carry: list[str] | None = None) -> DataFrame:
-    """Narrow projection with every dedup key (one pass over the text)."""
+    """Narrow projection with every dedup key; the grade, which is a key and may be carried, is made once a row."""
+    articles = materialize(articles, _grade=F.col("extraction_quality"))
     text = F.coalesce(F.col("article_text"), F.lit(""))
     has_title = T.py_strip(F.lower(F.coalesce(F.col("title"), F.lit("")))) != ""
     domain = U.extract_domain("final_url")
@@ -98,10 +101,10 @@ def dedup_keys(articles: DataFrame, carry: list[str] | None = None) -> DataFrame
              else U.normalize_url("final_url")).alias("normalized_url"),
             T.content_fingerprint(text).alias("content_fp"),
             tkey.alias("title_key"),
-            Q.quality_rank("extraction_quality").alias("q"),
+            Q.quality_rank("_grade").alias("q"),
             F.length(text).alias("text_len")]
     taken = {"seq", "normalized_url", "content_fp", "title_key", "q", "text_len"}
-    cols += [F.col(c) for c in (carry or []) if c not in taken]
+    cols += [F.col("_grade" if c == "extraction_quality" else c).alias(c) for c in (carry or []) if c not in taken]
     return articles.select(*cols)
 
 
