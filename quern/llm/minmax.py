@@ -26,18 +26,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import BLANK_WORD, LOWER, Words, gram_hash, map_arrow, mix64, pieces_of, shared_table
+from quern.llm.common import BLANK_WORD, LOWER, Words, free_name, gram_hash, map_arrow, mix64, pieces_of, shared_table
 from quern.llm.components import components
 
 K = 5
 PERMUTATIONS = 60
 ROWS = 5
 LEAST_PERCENT = 85
-#: A shingle that at most so many open classes hold is rare.
-RARE = 8
+#: Shares in which the classes of a shingle are counted, and bits of a class's signature.
+SALTS, BITS = 16, 512
 #: Node numbers of rows without doc_id start here, above all ids.
 NO_ID = 1 << 62
 
@@ -144,52 +144,67 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int, name: str) -> DataF
 
 
 def _grams(b: pa.RecordBatch):
+    """Every shingle of each text, and with its first one the bits that its shingles set."""
     node, texts = b.column("node").to_numpy(), b.column("text").to_pylist()
     for lo, hi in pieces_of(np.array([len(t or "") + 1 for t in texts]), 4_000_000):
         sets = shingle_sets(texts[lo:hi])
+        n = np.array([len(x) for x in sets])
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(hi - lo), n)
+        bits = np.zeros((hi - lo, BITS), np.uint8)
+        bits[owner, (flat >> np.uint64(20)) & np.uint64(BITS - 1)] = 1
+        words = np.packbits(bits, axis=1, bitorder="little").view("<i8")
+        first = np.diff(owner, prepend=-1) > 0
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(node[lo:hi], [len(x) for x in sets])), pa.array(np.concatenate(sets).view(np.int64))],
-            names=["cls", "gram"])
+            [pa.array(node[lo:hi][owner]), pa.array(flat.view(np.int64)),
+             pa.array([words[o] if f else None for o, f in zip(owner.tolist(), first.tolist())], pa.list_(pa.int64()))],
+            names=["cls", "gram", "bits"])
+
+
+def _by_rarity(grams: DataFrame) -> DataFrame:
+    """``grams`` (cls, gram) with ``held``, how many classes hold it, and ``i``, its place in its class, least held first.
+
+    Counts are made in salted shares and handed back by share, so that a gram of many classes isn't one task.
+    """
+    x = grams.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int"))
+    share = x.groupBy("gram", "salt").agg(F.count("*").alias("c"))
+    held = share.select("gram", "salt").join(share.groupBy("gram").agg(F.sum("c").alias("held")), "gram")
+    w = Window.partitionBy("cls").orderBy("held", "gram")  # one text's grams
+    return x.join(held, ["gram", "salt"]).select(
+        "cls", "gram", "held", (F.row_number().over(w) - 1).alias("i"))
 
 
 def _open_pairs(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) in different components that could still be similar.
-
-    Shingles that at most ``RARE`` open classes hold are rare. Two classes
-    that share no rare shingle share at most the rest of either set, and
-    ``room`` is the largest partner this rest allows: such pairs are looked
-    for in their buckets, and a class with less room than its bucket's
-    smallest set has no partner there. Pairs that do share rare shingles
-    are counted by those shingles, at most ``RARE`` classes each. Both
-    bounds are exact; a large group of loose copies costs no pair of its
-    common shingles.
+    """Pairs (u, v) of classes in different components that could still be similar.
+
+    An exact prefix filter: every class's shingles stand in one order for the
+    whole table, those that few open classes hold first. Two sets that are
+    similar enough share a shingle among their first few, so only these are
+    joined: of the larger set as many as any smaller partner leaves, of the
+    smaller the fewer that a partner of its size or more leaves. A match
+    counts only if it can be the pair's first shared shingle: what follows it
+    must leave room for the whole overlap; and the bits that only one of the
+    two sets has must not be more than what may tell them apart. Loose copies
+    of one text have shingles of their own first, or bits apart, so a large
+    group of them makes few pairs of its common shingles.
     """
     some = open_.select("cls", "n", "root").distinct()
     grams = shared_table(map_arrow(texts.join(some, texts["node"] == some["cls"]).select("node", "text"),
-                                   lambda: _grams, "cls bigint, gram bigint"), "grams")
-    few = grams.groupBy("gram").agg(F.count("*").alias("c")).filter(F.col("c") <= RARE)
-    rare = grams.join(few, "gram")
-    counts = rare.groupBy("cls").agg(F.count("*").alias("rare"), F.count(F.when(F.col("c") == 1, 1)).alias("own"))
-    sizes = shared_table(some.join(counts, "cls", "left").na.fill(0, ["rare", "own"]), "sizes")
-    like = f"100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)"
-    # Without a rare shingle in common.
-    x = (open_.join(sizes.select("cls", "rare"), "cls")
-         .withColumn("room", F.expr(f"floor((100 + {percent}) * (n - rare) / {percent}) - n")))
-    x = shared_table(x.join(x.groupBy("key").agg(F.min("n").alias("least_n")), "key").filter("room >= least_n"), "roomy")
-    left = x.select("key", "lo", "hi", *[F.col(c).alias(f"{c}_u") for c in ("cls", "n", "root", "room")])
-    right = x.select(F.col("key").alias("key_v"), *[F.col(c).alias(f"{c}_v") for c in ("cls", "n", "root", "room")])
-    common = left.join(right, F.expr(
-        "key = key_v AND cls_u > cls_v AND root_u <> root_v AND n_v <= room_u AND n_u <= room_v "
-        f"AND cls_u <> lo AND cls_u <> hi AND cls_v <> lo AND cls_v <> hi AND {like}"))
-    # With rare shingles in common: classes that even these could carry.
-    able = sizes.filter(f"floor((100 + {percent}) * (n - own) / {percent}) - n >= {percent} * n / 100")
-    held = shared_table(rare.filter("c > 1").select("cls", "gram").join(able, "cls"), "rare")
-    one, two = ([F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "root", "rare")] for s in "uv")
-    shared = (held.select("gram", *one).join(held.select(F.col("gram").alias("gram_v"), *two), F.expr(
-        f"gram = gram_v AND cls_u > cls_v AND root_u <> root_v AND {like}"))
-        .groupBy("cls_u", "cls_v", "n_u", "n_v", "rare_u", "rare_v").agg(F.count("*").alias("r"))
-        .filter(f"(100 + {percent}) * (least(n_u - rare_u, n_v - rare_v) + r) >= {percent} * (n_u + n_v)"))
-    return common.select("cls_u", "cls_v").union(shared.select("cls_u", "cls_v")).toDF("u", "v")
+                                   lambda: _grams, "cls bigint, gram bigint, bits array<bigint>"), "grams")
+    some = some.join(grams.where("bits IS NOT NULL").select("cls", "bits"), "cls")
+    # The least overlap: 100 k >= percent * (union), with a smaller partner, and with one of its own size.
+    probe = f"n - ceil({percent} * n / 100) + 1"
+    index = f"n - ceil({2 * percent} * n / {100 + percent}) + 1"
+    x = _by_rarity(grams.select("cls", "gram")).where("held > 1").join(some, "cls").where(f"i < {probe}")  # what one class holds alone meets none
+    x = shared_table(x.select("gram", "cls", "n", "root", "i", "bits", F.expr(f"i < {index}").alias("first")), "prefixes")
+    big, small = (x.where(c).select(F.col("gram").alias(f"gram_{s}"), *[F.col(k).alias(f"{k}_{s}") for k in ("cls", "n", "root", "i", "bits")])
+                  for c, s in (("true", "u"), ("first", "v")))
+    # Bits that only one of the two has are of shingles that only it has.
+    apart = " + ".join(f"bit_count(bits_u[{i}] ^ bits_v[{i}])" for i in range(BITS // 64))
+    met = big.join(small, F.expr(
+        "gram_u = gram_v AND root_u <> root_v AND (n_u > n_v OR (n_u = n_v AND cls_u > cls_v)) "
+        f"AND 100 * n_v >= {percent} * n_u AND {100 + percent} * least(n_u - i_u, n_v - i_v) >= {percent} * (n_u + n_v) "
+        f"AND {100 + percent} * (n_u + n_v - ({apart})) >= {2 * percent} * (n_u + n_v)"))
+    return met.select(F.greatest("cls_u", "cls_v").alias("u"), F.least("cls_u", "cls_v").alias("v")).distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -231,5 +246,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LEAST_PERCENT) -> DataFrame:
     """Whole rows of ``df`` that stay: one document of each component."""
-    stay = near_duplicates(df, id_col, text_col, percent).filter("kept").select(F.col("node").alias("_node")).distinct()
-    return df.join(stay, node_of(F.col(id_col), F.col(text_col)) == F.col("_node"), "left_semi")
+    name = free_name(df, "_node")
+    stay = near_duplicates(df, id_col, text_col, percent).filter("kept").select(F.col("node").alias(name)).distinct()
+    return df.join(stay, node_of(df[id_col], df[text_col]) == stay[name], "left_semi")
