@@ -1,11 +1,14 @@
 """Page extraction (D1–D6, B11, H4) over a ``pages(page_id, url, html)`` table.
 
-One ``mapInPandas`` pass parses each page once with the standard-library
+One ``mapInArrow`` pass parses each page once with the standard-library
 ``html.parser`` and emits the structural facts every cascade needs
 (headings, title, metas, paragraphs, containers, anchors, date/summary
 candidates).  The cascades themselves — which candidate wins, length
 thresholds, fallbacks — are native ``coalesce``/array expressions, so
-they stay in the JVM and are visible to the optimizer.
+they stay in the JVM and are visible to the optimizer.  A worker hands
+its rows on after about ``BATCH_CHARS`` characters of HTML and takes a
+page's tree apart when it is read, so what it holds does not grow with
+the rows of a batch.
 
 Tree rules follow the lenient parser the reference used: an end tag
 closes the nearest open element of that name (unknown end tags are
@@ -59,6 +62,10 @@ PAGE_SCHEMA = (
 )
 
 
+#: Characters of HTML that a worker parses before it hands their rows on, about.
+BATCH_CHARS = 1_000_000
+
+
 class _Node:
     __slots__ = ("tag", "attrs", "children", "parent")
 
@@ -213,29 +220,56 @@ def parse_page(page_id, url, html, link_terms):
     for pat in TEXT_DATE_PATTERNS:
         m = re.search(pat, full)
         text_dates.append(m.group(1) if m else None)
-    return {"page_id": page_id, "url": url, "h1s": h1s, "title": titles[0].text() if titles else None,
+    title = titles[0].text() if titles else None
+    for n in everything:  # nodes and parents hold each other: apart, they are freed at once
+        n.parent, n.children = None, []
+    return {"page_id": page_id, "url": url, "h1s": h1s, "title": title,
             "metas": metas, "ps": ps, "containers": containers, "divs": divs, "anchors": anchors,
             "date_texts": date_texts, "summary_texts": summary_texts, "text_dates": text_dates}
 
 
 def parse_pages(pages: DataFrame, link_terms: list[str] | None = None, page_id: str = "page_id",
                 url: str = "url", html: str = "html") -> DataFrame:
-    """The page-parsing job: one pass per page, Arrow batches in and out."""
-    import pandas as pd
+    """The page-parsing job: one pass per page, Arrow batches in, smaller ones out."""
     from quern.session import ship_package
     ship_package(pages.sparkSession)
     terms = list(link_terms or [])
 
     def run(batches):
         for b in batches:
-            rows = [parse_page(i, u, h, terms) for i, u, h in zip(b[page_id], b[url], b[html])]
-            yield pd.DataFrame(rows, columns=PAGE_COLUMNS)
-
-    return pages.select(page_id, url, html).mapInPandas(run, PAGE_SCHEMA)
-
-
-PAGE_COLUMNS = ["page_id", "url", "h1s", "title", "metas", "ps", "containers", "divs", "anchors",
-                "date_texts", "summary_texts", "text_dates"]
+            yield from parsed_batches(b, terms)
+
+    return pages.select(page_id, url, html).mapInArrow(run, PAGE_SCHEMA)
+
+
+def parsed_batches(batch, terms: list[str]):
+    """The parsed pages of an Arrow batch (page_id, url, html), in batches of about ``BATCH_CHARS`` characters of HTML."""
+    import pyarrow as pa
+    schema = _page_arrow()
+    rows, chars = [], 0
+    for i, u, h in zip(*batch.columns):  # a value at a time, not the whole batch as Python objects
+        html = h.as_py()
+        row = parse_page(i.as_py(), u.as_py(), html, terms)
+        rows.append(row | {"metas": list(row["metas"].items())})
+        chars += len(html or "")
+        if chars >= BATCH_CHARS:
+            yield pa.RecordBatch.from_pylist(rows, schema)
+            rows, chars = [], 0
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, schema)
+
+
+def _page_arrow():
+    """``PAGE_SCHEMA`` in Arrow's types."""
+    import pyarrow as pa
+    text, many = pa.string(), pa.list_(pa.string())
+    block = [("pos", pa.int32()), ("text_len", pa.int32()), ("text", text)]
+    return pa.schema([
+        ("page_id", pa.int64()), ("url", text), ("h1s", many), ("title", text), ("metas", pa.map_(text, text)), ("ps", many),
+        ("containers", pa.list_(pa.struct([("sel", pa.int32()), *block, ("n_p", pa.int32()), ("paras", many)]))),
+        ("divs", pa.list_(pa.struct([("n_p", pa.int32()), *block, ("paras", many)]))),
+        ("anchors", pa.list_(pa.struct([("href", text), ("text", text), ("parent_hit", pa.bool_()), ("in_section", pa.bool_())]))),
+        ("date_texts", many), ("summary_texts", many), ("text_dates", many)])
 
 
 # ------------------------------------------------------------------ cascades (native)

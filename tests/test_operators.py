@@ -187,3 +187,20 @@ def test_every_region_has_its_languages_terms(spark):
     n = {(r["region"], r["lang"]): r["n"] for r in got.groupBy("region", "lang").agg(F.count("*").alias("n")).collect()}
     assert len(n) == 102
     assert all(k == len(dims.REGIONAL_TERMS.get(lang, dims.ENGLISH_TERMS)) for (_, lang), k in n.items())
+
+
+def test_parsed_pages_leave_in_small_batches(spark):
+    """A worker holds the rows of about BATCH_CHARS characters, whatever the batch; ids and nulls come through."""
+    import pyarrow as pa
+    from quern.operators import pages as P
+    html = "<h1>A heading of the page</h1><p>" + "flood " * 30_000 + "</p>"
+    rows = [(2**60 + i, f"https://x.example.com/{i}", html) for i in range(20)] + [(None, None, None)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["page_id", "url", "html"])
+    out = list(P.parsed_batches(batch, ["flood"]))
+    assert len(out) > 2 and max(b.num_rows for b in out) * len(html) < P.BATCH_CHARS + len(html)
+    assert [i for b in out for i in b.column("page_id").to_pylist()] == [r[0] for r in rows]
+    pages = spark.createDataFrame([(1, "https://x.example.com/", "<meta name='date' content='2024-01-02'><a href='/flood'>flood</a>"),
+                                   (None, None, None)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in P.parse_pages(pages, ["flood"]).collect()}
+    assert got[1].metas == {"name:date": "2024-01-02"} and got[1].anchors[0].href == "/flood"
+    assert got[None].url is None and got[None].h1s == [] and got[None].title is None
