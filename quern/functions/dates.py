@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quern.functions.text import WS, _c
+from quern.functions.text import WS, _c, once
 
 # URL date layouts, tried in this order; the first match of
 # each is validated (year 2000–2030, real calendar date) before moving on.
@@ -68,25 +68,22 @@ def _ymd_date(y: Column, m: Column, d: Column) -> Column:
 def date_from_url(url) -> Column:
     """C5 — first valid date found by the nine URL layouts, else null."""
     u = F.coalesce(_c(url), F.lit(""))
-    out = []
-    for p in URL_DATE_PATTERNS:
+
+    def layout(p):
         p = p.replace(r"\d", "[0-9]")
-        ngroups = p.count("(")
-        if ngroups == 1:
-            g = F.regexp_extract(u, p, 1)
-            y, m, d = F.substring(g, 1, 4), F.substring(g, 5, 2), F.substring(g, 7, 2)
-            ok = F.length(g) == 8
-        else:
-            g1, g2, g3 = (F.regexp_extract(u, p, i) for i in (1, 2, 3))
-            first4, last4 = F.length(g1) == 4, F.length(g3) == 4
-            y = F.when(first4, g1).otherwise(g3)
-            m = g2
-            d = F.when(first4, g3).otherwise(g1)
-            ok = first4 | last4
-        yi = y.try_cast("int")
-        valid = ok & yi.between(2000, 2030)
-        out.append(F.when(valid, _ymd_date(y, m, d)))
-    return F.coalesce(*out)
+
+        def fields(found):  # the groups of a match are those of its own text
+            if p.count("(") == 1:
+                g = F.regexp_extract(found, p, 1)
+                return F.struct(F.substring(g, 1, 4).alias("y"), F.substring(g, 5, 2).alias("m"), F.substring(g, 7, 2).alias("d"))
+            g1, g2, g3 = (F.regexp_extract(found, p, i) for i in (1, 2, 3))
+            return once(F.struct(g1.alias("a"), g2.alias("m"), g3.alias("b")), lambda g: F.struct(
+                F.when(F.length(g["a"]) == 4, g["a"]).otherwise(g["b"]).alias("y"), g["m"].alias("m"),
+                F.when(F.length(g["a"]) == 4, g["b"]).otherwise(g["a"]).alias("d")))
+        # A layout without a match is searched for once, and no other field of it is made.
+        return once(F.regexp_extract(u, p, 0), lambda found: F.when(found != "", once(fields(found), lambda g: F.when(
+            (F.length(g["y"]) == 4) & g["y"].try_cast("int").between(2000, 2030), _ymd_date(g["y"], g["m"], g["d"])))))
+    return F.coalesce(*[layout(p) for p in URL_DATE_PATTERNS])
 
 
 def gmt_to_ist(published) -> Column:
@@ -94,12 +91,15 @@ def gmt_to_ist(published) -> Column:
     anything unparseable is returned unchanged."""
     p = _c(published)
     rx = rf"^{_A}, ({_D}) ({_BB}) ({_Y}) ({_H}:{_MI}:{_S}) (?:GMT|UTC)$"
-    day, name, year, time = (F.regexp_extract(p, rx, i) for i in (1, 2, 3, 4))
-    month = F.floor(F.instr(F.lit("".join(m[:3] for m in _MONTHS)), F.lower(name)) / 3).cast("int") + 1
-    # wall-clock arithmetic without a zone: a session zone with clock changes moves nothing
-    ts = F.concat(year, F.lit("-"), month.cast("string"), F.lit("-"), F.trim(day), F.lit(" "), time).try_cast("timestamp_ntz")
-    ist = (ts + F.expr("INTERVAL 330 MINUTES")).cast("string")
-    return F.when(year != "", F.coalesce(ist, p)).otherwise(p)
+    names = F.lit("".join(m[:3] for m in _MONTHS))
+
+    def shifted(g):
+        month = F.floor(F.instr(names, F.lower(g["name"])) / 3).cast("int") + 1
+        # wall-clock arithmetic without a zone: a session zone with clock changes moves nothing
+        ts = F.concat(g["year"], F.lit("-"), month.cast("string"), F.lit("-"), F.trim(g["day"]), F.lit(" "), g["time"]).try_cast("timestamp_ntz")
+        return F.when(g["year"] != "", (ts + F.expr("INTERVAL 330 MINUTES")).cast("string"))
+    parts = F.struct(*[F.regexp_extract(p, rx, i).alias(c) for i, c in enumerate(("day", "name", "year", "time"), 1)])
+    return F.coalesce(once(parts, shifted), p)
 
 
 def parse_ist(s) -> Column:

@@ -20,7 +20,7 @@ from quern.plans.catalog import register
 from quern.plans.q_dedup import FUNNEL_SQL
 from quern.plans.q_dates import END, KEPT_SQL, LINKS_SQL, START
 from quern.plans.q_text import _final_sql
-from quern.session import checkpoint_dir
+from quern.session import checkpoint_dir, shared_table
 from quern.sources import io
 
 REGIONS = dims.STATES + dims.UNION_TERRITORIES
@@ -129,6 +129,7 @@ def write_links_range(spark, sf):
                     F.lit("Monsoon").alias("disaster_type"))
     # The function takes the rows of one run; those of the range are taken here.
     rows = rows.where(F.try_to_date(F.substring("Date", 1, 10), "yyyy-MM-dd").between("2000-12-01", "2000-12-31"))
+    rows = shared_table(rows, "range-links")  # dated once, as both writes take them
     root = _scratch(spark, "range")
     for _ in range(2):
         io.replace_links(rows, root, "2000-12-01", "2000-12-31")
