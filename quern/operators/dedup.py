@@ -128,14 +128,17 @@ def dedup_chain(keys: DataFrame, mode: str = "best") -> DataFrame:
     return keep_best(s2, "title_key", [-F.col("text_len")], "n_content", sums=("n_in", "n_url"))
 
 
-def smart_dedup(articles: DataFrame, mode: str = "best", carry: list[str] | None = None) -> DataFrame:
+def smart_dedup(articles: DataFrame, mode: str = "best", carry: list[str] | None = None,
+                chain: DataFrame | None = None) -> DataFrame:
     """G5 — URL → content → title stages.
 
     ``carry=None`` returns the surviving article rows (one semi-join of the
     wide input on ``seq``); with ``carry`` it returns the narrow survivor
-    frame plus those columns and never touches the text again.
+    frame plus those columns and never touches the text again.  ``chain`` is
+    the ``dedup_chain`` of these articles, where the caller has it already.
     """
-    chain = dedup_chain(dedup_keys(articles, carry), mode)
+    if chain is None:
+        chain = dedup_chain(dedup_keys(articles, carry), mode)
     if carry is not None:
         return chain
     return articles.join(chain.select("seq"), "seq", "left_semi")
