@@ -206,6 +206,7 @@ def test_repeated_links_go_before_bad_dates(spark):
     ("write_links_range", "io", "replace_links", "range-links", 2),
     ("run_stats_deduplication", "G", "run_stats", "stats-", 1),
     ("articles_two_days", "io", "write_articles", "two-days-survivors", 2),
+    ("run_stats_roundtrip", "G", "run_stats", "stats-survivors", 2),
 ])
 def test_round_trips_make_their_rows_once(spark, monkeypatch, query, module, sink, folder, times):
     """Every write takes rows that lie in a table: none goes back to the source's texts or dates."""
