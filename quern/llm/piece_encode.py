@@ -5,7 +5,7 @@ sequence is found without running the merges over the whole text: at each
 position the longest piece (Aho-Corasick) is tried first, then its shorter
 prefixes; a piece may follow another only if merging the two pieces' own
 text gives exactly those two pieces again. A position from which nothing
-fits is marked in a bitfield and never entered again. A sequence whose
+fits is marked and never entered again. A sequence whose
 adjacent pieces are all compatible is the greedy result: merges inside two
 neighbours run alike with and without the rest, so a merge across some
 border would show in that pair alone.
@@ -21,8 +21,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,9 @@ MARK = "▁"  # stands for a space
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 #: Words and piece pairs a worker remembers before it starts afresh.
 MOST_WORDS, MOST_PAIRS = 700_000, 400_000
+#: Bits of a piece in a pair's key (ids and code points fit); no piece, and what the first piece follows.
+WIDTH, NONE = 21, -1
+START = (1 << WIDTH) - 1
 #: Characters of a word that is kept, at most: memory is bounded in bytes.
 LONG = 64
 
@@ -53,19 +56,24 @@ class PieceEncoder:
         sp = processor
         normal = [i for i in range(sp.get_piece_size())
                   if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
-        self.id = {sp.id_to_piece(i): i for i in normal}
-        self.score = {sp.id_to_piece(i): sp.get_score(i) for i in normal}
-        if any(MARK in p.lstrip(MARK) for p in self.id):
+        #: Pieces by id; a character outside the vocabulary is ``n`` and its code point.
+        self.n = sp.get_piece_size()
+        self.text = [sp.id_to_piece(i) for i in range(self.n)]
+        self.size = [len(p) for p in self.text]
+        of = {self.text[i]: i for i in normal}
+        self.score = {p: sp.get_score(i) for p, i in of.items()}
+        if any(MARK in p.lstrip(MARK) for p in of):
             raise ValueError("a piece holds a space mark after other characters: words can't be cut")
         if not sp.is_byte(sp.piece_to_id("<0x00>")):
             raise ValueError("the model has no byte fallback")
         self.byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.machine = ahocorasick.Automaton()
-        for p in self.id:
-            self.machine.add_word(p, len(p))
+        self.shorter = [NONE] * self.n
+        for p, i in of.items():
+            self.machine.add_word(p, i)
+            self.shorter[i] = next((of[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in of), NONE)
         self.machine.make_automaton()
-        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id), None) for p in self.id}
-        self.pairs: dict[tuple[str | None, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def merge(self, text: str) -> list[str]:
         """The greedy merges themselves: best score first, then leftmost."""
@@ -81,61 +89,69 @@ class PieceEncoder:
             out[at:at + 2] = [out[at] + out[at + 1]]
         return out
 
-    def fits(self, left: str | None, right: str) -> bool:
-        key = (left, right)
+    def text_of(self, piece: int) -> str:
+        return self.text[piece] if piece < self.n else chr(piece - self.n)
+
+    def fits(self, left: int, right: int) -> bool:
+        key = left << WIDTH | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MOST_PAIRS:
                 self.pairs.clear()
-            known = self.merge(right) == [right] if left is None else self.merge(left + right) == [left, right]
+            b = self.text_of(right)
+            if left == START:
+                known = self.merge(b) == [b]
+            else:
+                a = self.text_of(left)
+                known = self.merge(a + b) == [a, b]
             self.pairs[key] = known
         return known
 
-    def split(self, word: str) -> list[str]:
+    def pieces(self, word: str) -> list[int]:
         """The pieces of a word; a character outside the vocabulary is a piece of its own."""
-        n = len(word)
-        longest = [0] * n
-        for end, size in self.machine.iter(word):
-            at = end - size + 1
-            if size > longest[at]:
-                longest[at] = size
-        if n and longest[0] == n and self.fits(None, word):
-            return [word]
-        failed = bytearray((n >> 3) + 1)
-        known, shorter = self.pairs.get, self.shorter.get
-        out: list[str] = []
-        pos, piece = 0, word[:longest[0] or 1]
+        n, vocabulary, size, shorter = len(word), self.n, self.size, self.shorter
+        longest = [NONE] * n
+        for end, piece in self.machine.iter(word):
+            longest[end - size[piece] + 1] = piece  # ends rise: the longest comes last
+        if NONE in longest:
+            longest = [vocabulary + ord(c) if i == NONE else i for i, c in zip(longest, word)]
+        if n and longest[0] < vocabulary and size[longest[0]] == n and self.fits(START, longest[0]):
+            return [longest[0]]
+        failed = bytearray(n + 1)
+        known = self.pairs.get
+        out: list[int] = []
+        pos, left, piece = 0, START, longest[0] if n else NONE
         while pos < n:
-            left = out[-1] if out else None
-            while piece is not None:
-                end = pos + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1:
-                    ok = known((left, piece))
+            while piece != NONE:
+                end = pos + (size[piece] if piece < vocabulary else 1)
+                if not failed[end]:
+                    ok = known(left << WIDTH | piece)
                     if self.fits(left, piece) if ok is None else ok:
                         break
-                piece = shorter(piece)
-            if piece is None:
+                piece = shorter[piece] if piece < vocabulary else NONE
+            if piece == NONE:
                 if not out:
                     raise ValueError("no sequence of pieces fits")
-                failed[pos >> 3] |= 1 << (pos & 7)
+                failed[pos] = 1
                 piece = out.pop()  # its end has failed now: shorter ones follow
-                pos -= len(piece)
+                pos -= size[piece] if piece < vocabulary else 1
+                left = out[-1] if out else START
             else:
                 out.append(piece)
-                pos = end
+                left, pos = piece, end
                 if pos < n:
-                    piece = word[pos:pos + (longest[pos] or 1)]
+                    piece = longest[pos]
         return out
 
+    def split(self, word: str) -> list[str]:
+        """The text of each of a word's pieces."""
+        return list(map(self.text_of, self.pieces(word)))
+
     def ids(self, word: str) -> list[int]:
         """Ids of a word of :func:`words_of`."""
-        out: list[int] = []
-        for p in self.split(word if word.startswith(MARK) else MARK + word):
-            i = self.id.get(p)
-            if i is not None:
-                out.append(i)
-            else:
-                out += [self.byte[b] for b in p.encode("utf-8", "replace")]
+        out = self.pieces(word if word.startswith(MARK) else MARK + word)
+        if max(out) >= self.n:
+            out = [i for p in out for i in ([p] if p < self.n else [self.byte[b] for b in chr(p - self.n).encode("utf-8", "replace")])]
         return out
 
 
@@ -151,17 +167,20 @@ def words_of(text: str) -> list[str]:
     return words
 
 
-_ENCODERS: dict = {}
+_ENCODERS: dict[bytes, tuple] = {}
 
 
 def encoder(model: bytes) -> tuple:
-    """The worker's processor, encoder and word table for a model."""
-    key = hashlib.sha256(model).digest()
-    if key not in _ENCODERS:
+    """The worker's processor, encoder and word table for a model.
+
+    The bytes themselves are the key: Python hashes them once an object,
+    so asking again for every text costs nothing.
+    """
+    if model not in _ENCODERS:
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-        _ENCODERS[key] = (sp, PieceEncoder(sp), {})
-    return _ENCODERS[key]
+        _ENCODERS[model] = (sp, PieceEncoder(sp), {})
+    return _ENCODERS[model]
 
 
 def encode(text: str, model: bytes) -> np.ndarray:
@@ -174,7 +193,7 @@ def encode(text: str, model: bytes) -> np.ndarray:
         seen.clear()
     long: dict[str, bytes] = {}  # whole texts without a blank, in some scripts: not kept
     for w in set(words).difference(seen):
-        (seen if len(w) <= LONG else long)[w] = np.array(enc.ids(w), np.int32).tobytes()
+        (seen if len(w) <= LONG else long)[w] = array("i", enc.ids(w)).tobytes()
     find = seen.__getitem__ if not long else lambda w: long[w] if w in long else seen[w]
     return np.frombuffer(b"".join(map(find, words)), np.int32)
 

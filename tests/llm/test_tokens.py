@@ -45,6 +45,16 @@ def test_pieces_follow_the_merges():
         assert enc.split(E.MARK + w) == enc.merge(E.MARK + w)
 
 
+def test_texts_do_not_read_the_model_again(monkeypatch):
+    """The model, half a MB, was hashed again for every text."""
+    model = E.model_bytes(MODEL)
+    first = E.encoder(model)
+    monkeypatch.setattr(hashlib, "sha256", None)
+    for t in corpus():
+        E.encode(t or "", model)
+    assert E.encoder(bytes(bytearray(model))) is first  # the next task's copy
+
+
 def test_piece_table(spark):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
